@@ -68,14 +68,16 @@ def exclusive_prefix(df: DataFrame, order: list[Column], bucket: str,
 
 
 def global_rank(df: DataFrame, time_us: Column, tiebreak: str, out: str = "_rank",
-                n_rows: int | None = None) -> DataFrame:
+                stats: dict | None = None) -> DataFrame:
     """0-based position of each row in the order (time asc nulls last,
-    tiebreak asc), computed in two levels. Needs one small aggregate pass for
-    the time range and the row count."""
+    tiebreak asc), computed in two levels. ``stats`` (lo, hi, n of the time
+    in microseconds) saves the small aggregate pass when the caller has it."""
     d = df.withColumn("_tus", time_us)
-    stats = d.agg(F.min("_tus").alias("lo"), F.max("_tus").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    n = n_rows if n_rows is not None else stats["n"]
-    nb = bucket_count(n)
+    if stats is None:
+        row = d.agg(F.min("_tus").alias("lo"), F.max("_tus").alias("hi"),
+                    F.count(F.lit(1)).alias("n")).first()
+        stats = {"lo": row["lo"], "hi": row["hi"], "n": row["n"]}
+    nb = bucket_count(stats["n"])
     d = d.withColumn("_bk", uniform_bucket(F.col("_tus"), stats["lo"], stats["hi"], nb))
     ranked = exclusive_prefix(d, [F.col("_tus").asc_nulls_last(), F.col(tiebreak).asc()], "_bk",
                               {out: F.lit(1).cast("bigint")}, max_buckets=nb + 1)
