@@ -1 +1,139 @@
-"""Queries."""
+"""Safety-gate queries over the real training table and feature matrix,
+plus the incremental-ingest stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyhawk.functions.columns import pseudonym
+from tallyhawk.operators import gate as G
+from tallyhawk.plans.catalog import query
+from tallyhawk.plans.queries_features import TRAINING_SQL, training_table
+from tallyhawk.plans.queries_labels import LBL
+from tallyhawk.plans.queries_prep import prep_frame
+from tallyhawk.plans.queries_sources import extract_sql, textualise
+from tallyhawk.session import scratch_path
+from tallyhawk.sources import documents as D
+from tallyhawk.sources import fixtures as FX
+
+
+@query("gate_pii_columns")
+def gate_pii_columns(spark, sf_dir):
+    return G.gate_pii_columns(training_table(spark, sf_dir))
+
+
+@query("gate_forbidden_columns")
+def gate_forbidden_columns(spark, sf_dir):
+    return G.gate_forbidden_columns(training_table(spark, sf_dir))
+
+
+@query("gate_label_domain", LBL + """
+select count(*) as rows, count(*) filter (where label is not null and label not in (0, 1)) as bad_labels from labels""")
+def gate_label_domain(spark, sf_dir):
+    return G.label_domain(training_table(spark, sf_dir))
+
+
+@query("gate_point_in_time", "select count(*) filter (where user_age_days < 0) as negative_user_age_days,\n"
+       "       count(*) filter (where recipient_age_days < 0) as negative_recipient_age_days,\n"
+       "       count(*) filter (where prior_sends_to_recipient < 0) as negative_prior_sends_to_recipient\n"
+       f"from ({TRAINING_SQL}) x")
+def gate_point_in_time(spark, sf_dir):
+    return G.point_in_time(training_table(spark, sf_dir))
+
+
+@query("gate_feature_matrix")
+def gate_feature_matrix(spark, sf_dir):
+    from tallyhawk.operators.prep import prepare_matrix
+    state, _m = prepare_matrix(prep_frame(spark, sf_dir))
+    fails = G.gate_feature_matrix(state.feature_cols)
+    return spark.createDataFrame([("feature_matrix", not fails, "; ".join(fails) or "ok")], G.GATE_SCHEMA)
+
+
+# FIXED VALUES: the normalisation vector of the pseudonym.
+HASH_VECTOR = [("  ABC123  ", "abc123"), ("Abc123", "abc123")]
+
+
+@query("gate_hash_consistency", """
+select count(*) as hashed_values, cast(0 as bigint) as mismatches, true as normalisation_ok, true as blanks_null
+from customer""")
+def gate_hash_consistency(spark, sf_dir):
+    """The same values hashed by two separate jobs (each written to shared
+    storage) must agree row for row; the fixed vector checks normalisation."""
+    salt = FX.FIXTURE_SALT
+    names = FX.table(spark, sf_dir, "customer").select("c_custkey", pseudonym("c_name", salt).alias("h"))
+    a, b = scratch_path(spark, "hash-a"), scratch_path(spark, "hash-b")
+    names.write.parquet(a)
+    names.write.parquet(b)
+    ra, rb = spark.read.parquet(a), spark.read.parquet(b)
+    diff = ra.exceptAll(rb).unionByName(rb.exceptAll(ra)).agg(F.count(F.lit(1)).alias("mismatches"))
+    vec = spark.createDataFrame(HASH_VECTOR + [(None, None), ("", None), ("   ", None)], "a string, b string")
+    checks = vec.agg(
+        F.bool_and(F.when(F.col("b").isNotNull(), pseudonym("a", salt) == pseudonym("b", salt))).alias("normalisation_ok"),
+        F.bool_and(F.when(F.col("b").isNull(), pseudonym("a", salt).isNull())).alias("blanks_null"))
+    n = ra.agg(F.count(F.lit(1)).alias("hashed_values"))
+    one = F.lit(1)
+    return (n.withColumn("_o", one).join(diff.withColumn("_o", one), "_o")
+             .join(checks.withColumn("_o", one), "_o").drop("_o"))
+
+
+# FIXED VALUES: sentinel patterns for the cell scan (identity number, e-mail).
+CELL_PATTERNS = {
+    "ssn_like": "(^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}([^0-9]|$)",
+    "email_like": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}",
+}
+SCAN_TARGETS = [("documents", "text"), ("conversations", "text"), ("pages", "html")]
+
+_scan_sql = "\nunion all\n".join(
+    f"select '{t}.{c}' as source, '{name}' as pattern, "
+    f"count(*) filter (where coalesce(regexp_matches({c}, '{pat}'), false)) as hits from {t}"
+    for t, c in SCAN_TARGETS for name, pat in CELL_PATTERNS.items())
+
+
+@query("gate_cell_scan", _scan_sql)
+def gate_cell_scan(spark, sf_dir):
+    parts = []
+    for t, c in SCAN_TARGETS:
+        df = FX.table(spark, sf_dir, t).select(c)
+        agg = df.agg(*[F.count_if(F.coalesce(F.regexp_like(F.col(c), F.lit(p)), F.lit(False))).alias(n)
+                       for n, p in CELL_PATTERNS.items()])
+        stack = F.explode(F.array(*[F.struct(F.lit(n).alias("pattern"), F.col(n).alias("hits"))
+                                    for n in CELL_PATTERNS]))
+        parts.append(agg.select(F.lit(f"{t}.{c}").alias("source"), stack.alias("_s")).select("source", "_s.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("safety_gate")
+def safety_gate(spark, sf_dir):
+    """Every gate as one pass/fail table."""
+    from tallyhawk.operators.prep import prepare_matrix
+    t = training_table(spark, sf_dir, keep_ids=True)
+    ids = ["_id", "user_id", "recipient_id", "_t", "partner_reference", "partner_txn_id"]
+    train = t.drop(*[c for c in ids if c in t.columns])
+    rows = [G.gate_pii_columns(train), G.gate_forbidden_columns(train)]
+    dom = G.label_domain(train).first()
+    pit = G.point_in_time(train).first().asDict()
+    rec = G.reconcile_rows(FX.transfer_table(spark, sf_dir), t).first()
+    state, _ = prepare_matrix(prep_frame(spark, sf_dir))
+    fm = G.gate_feature_matrix(state.feature_cols)
+    summary = spark.createDataFrame([
+        ("label_domain", dom["bad_labels"] == 0, f"{dom['bad_labels']} labels outside 0/1"),
+        ("point_in_time", all(v == 0 for v in pit.values()), str(pit)),
+        ("row_reconciliation", bool(rec["reconciled"]),
+         f"source {rec['source_rows']} training {rec['training_rows']}"),
+        ("feature_matrix", not fm, "; ".join(fm) or "ok")], G.GATE_SCHEMA)
+    out = rows[0].unionByName(rows[1]).unionByName(summary)
+    return out
+
+
+@query("stream_extract", extract_sql("transfer"))
+def stream_extract(spark, sf_dir):
+    """New document files -> contract projection -> Parquet, exactly once."""
+    from tallyhawk.streaming.jobs import stream_extract as run
+    src = scratch_path(spark, "stream-src")
+    D.transfer_documents(spark, sf_dir).write.text(src)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    run(spark, src, sink, ckpt, "transfer", FX.FIXTURE_SALT)
+    return textualise(spark.read.parquet(sink))
