@@ -49,9 +49,14 @@ select 'c_name' as col, c_name as value, cast(cast(count(*) as double) / sum(cou
 from tr where c_name is not null group by c_name""",
     "lv": """
 select col, value, cast(row_number() over (partition by col order by value) - 1 as int) as idx
-from (select distinct 'n_name' as col, n_name as value from tr where n_name is not null
+from (select distinct 'n_name' as col, n_name as value from tr
+      where n_name is not null and (select count(distinct n_name) from tr) between 2 and 200
       union all
-      select distinct 'provider' as col, provider as value from tr where provider is not null) d""",
+      select distinct 'provider' as col, provider as value from tr
+      where provider is not null and (select count(distinct provider) from tr) between 2 and 200
+      union all
+      select distinct 'c_name' as col, c_name as value from tr
+      where c_name is not null and (select count(distinct c_name) from tr) between 2 and 200) d""",
     "fmx": """
 select s._id, s.split, cast(s.label as int) as y, s.amount_paid as amount,
        coalesce(f2.freq, cast(-1 as float)) as c_name_FE,
