@@ -37,9 +37,16 @@ def lenient_timestamp(c) -> Column:
     return F.coalesce(F.try_to_timestamp(_c(c).cast("string")), _c(c).cast("string").try_cast("timestamp"))
 
 
+# FIXED VALUES: the characters Python's str.strip() treats as whitespace.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c) -> Column:
-    """Remove leading/trailing whitespace of every kind (not only spaces)."""
-    return F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of every kind, as str.strip()
+    does (not only spaces); a character-set trim, no regex per value."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:
