@@ -57,8 +57,8 @@ def blank_to_null(c) -> Column:
 def pseudonym(c, salt: str) -> Column:
     """Salted SHA-256 pseudonym of lower(strip(str(v))): 24 hex characters;
     null or blank -> null. Deterministic across jobs and engines."""
-    norm = F.lower(strip_ws(c))
-    return F.when(norm != "", F.substring(F.sha2(F.concat(F.lit(salt), norm), 256), 1, 24))
+    norm = F.nullif(F.lower(strip_ws(c)), F.lit(""))
+    return F.substring(F.sha2(F.concat(F.lit(salt), norm), 256), 1, 24)
 
 
 def email_domain(c) -> Column:

@@ -44,13 +44,14 @@ def vpath(field: str, *more: str) -> str:
     return "$" + "".join(f"['{p}']" for p in field.split(".") + list(more))
 
 
-def read_field(doc: str, field: str, typ: str | None = None) -> Column:
+def read_field(doc: str, field: str, typ: str | None = None, keep_blank: bool = False) -> Column:
     """Typed value at a dotted path with extended-JSON wrappers unwrapped;
-    a gap in the path or a blank string is null."""
+    a gap in the path or (unless ``keep_blank``) a blank string is null."""
     typ = typ or field_type(field)
     g = lambda *p, t: F.try_variant_get(F.col(doc), vpath(field, *p), t)
     if typ == "string":
-        return blank_to_null(F.coalesce(g("$oid", t="string"), g(t="string")))
+        v = F.coalesce(g("$oid", t="string"), g(t="string"))
+        return v if keep_blank else blank_to_null(v)
     if typ in ("double", "bigint"):
         return F.coalesce(g("$numberDouble", t=typ), g("$numberLong", t=typ), g("$numberInt", t=typ), g(t=typ))
     if typ == "timestamp":
@@ -65,32 +66,84 @@ def out_name(field: str) -> str:
     return field.replace(".", "__")
 
 
-def contract_columns(doc_type: str, salt: str, doc: str = "doc") -> dict[str, Column]:
-    cols: dict[str, Column] = {}
+def _plan(doc_type: str):
+    """(output column, field, how) for every output of the contract."""
+    out = []
     for field, action, _tier, _sens in K.CONTRACTS[doc_type]:
         col = out_name(field)
         if action == "HASH":
-            cols[col] = pseudonym(read_field(doc, field, "string"), salt)
+            out.append((col, field, "hash"))
         elif action == "DERIVE":
             if field in K.SENSITIVE_DERIVE:
                 target = K.SENSITIVE_DERIVE[field]
-                if target is None:
-                    continue                      # raw value written nowhere
-                raw = read_field(doc, field, "string")
-                cols[target] = email_domain(raw) if target.endswith("email_domain") else raw
+                if target is not None:          # None: the raw value is written nowhere
+                    out.append((target, field, "email" if target.endswith("email_domain") else "text"))
             else:
-                cols[f"_raw_{col}"] = read_field(doc, field)
+                out.append((f"_raw_{col}", field, "typed"))
         else:
-            cols[col] = read_field(doc, field)
-    if doc_type == "transfer":
-        for canon, aliases in K.CANONICAL.items():
-            cols[canon] = pseudonym(F.coalesce(*[read_field(doc, a, "string") for a in aliases]), salt)
-    return cols
+            out.append((col, field, "typed"))
+    return out
 
 
 def extract_collection(docs: DataFrame, doc_type: str, salt: str, doc: str = "doc") -> DataFrame:
-    cols = contract_columns(doc_type, salt, doc)
-    return docs.select(*[c.alias(n) for n, c in cols.items()])
+    """Contract projection in three stages - read each path once, normalise,
+    then hash/derive - so no document value is looked up or normalised more
+    than once per row (the optimizer keeps stages apart rather than
+    duplicating non-trivial expressions)."""
+    plan = _plan(doc_type)
+    canon = K.CANONICAL if doc_type == "transfer" else {}
+    fields = list(dict.fromkeys([f for _c, f, _h in plan] + [a for al in canon.values() for a in al]))
+    text_like = {f for _c, f, h in plan if h != "typed"} | {a for al in canon.values() for a in al}
+    raw = {f: f"_r{i}" for i, f in enumerate(fields)}
+    stage1 = docs.select(*[(read_field(doc, f, "string", keep_blank=True) if f in text_like
+                            else read_field(doc, f)).alias(raw[f]) for f in fields])
+    # stage 2: blank -> null for text, normalised key text for hashing
+    from tallyhawk.functions.columns import strip_ws
+    s2 = {}
+    for f in fields:
+        c = F.col(raw[f])
+        if f in text_like or field_type(f) == "string":
+            s2[raw[f]] = blank_to_null(c)
+    stage2 = stage1.withColumns(s2)
+    norms = {}
+    for col, f, how in plan:
+        if how == "hash":
+            norms[f"_n_{col}"] = F.lower(strip_ws(F.col(raw[f])))
+    for canon_col, aliases in canon.items():
+        norms[f"_n_{canon_col}"] = F.lower(strip_ws(F.coalesce(*[F.col(raw[a]) for a in aliases])))
+    stage3 = stage2.withColumns(norms)
+
+    def hashed(n):
+        return F.when(F.col(n) != "", F.substring(F.sha2(F.concat(F.lit(salt), F.col(n)), 256), 1, 24))
+
+    outs = []
+    for col, f, how in plan:
+        if how == "hash":
+            outs.append(hashed(f"_n_{col}").alias(col))
+        elif how == "email":
+            outs.append(email_domain(F.col(raw[f])).alias(col))
+        else:
+            outs.append(F.col(raw[f]).alias(col))
+    for canon_col in canon:
+        outs.append(hashed(f"_n_{canon_col}").alias(canon_col))
+    return stage3.select(*outs)
+
+
+def contract_columns(doc_type: str, salt: str, doc: str = "doc") -> dict[str, Column]:
+    """Single-expression form of the projection (one column at a time)."""
+    cols: dict[str, Column] = {}
+    for col, f, how in _plan(doc_type):
+        if how == "hash":
+            cols[col] = pseudonym(read_field(doc, f, "string"), salt)
+        elif how == "email":
+            cols[col] = email_domain(read_field(doc, f, "string"))
+        elif how == "text":
+            cols[col] = read_field(doc, f, "string")
+        else:
+            cols[col] = read_field(doc, f)
+    for canon, aliases in (K.CANONICAL.items() if doc_type == "transfer" else []):
+        cols[canon] = pseudonym(F.coalesce(*[read_field(doc, a, "string") for a in aliases]), salt)
+    return cols
 
 
 def canonical_sources(docs: DataFrame, doc: str = "doc") -> DataFrame:

@@ -204,7 +204,10 @@ def prepare_matrix(training: DataFrame, exclude: list[str] | None = None, test_f
     """Split, fit on train, transform every split. Returns (state, matrix)
     where matrix holds id, split, y, amount (amount_paid if the column
     exists, else send_amount) and the features."""
-    split = temporal_split(training, test_frac, val_frac, time_col, id_col)
+    from tallyhawk.session import materialize
+    # the training table feeds the split statistics, the fit and the
+    # transform: computed once, then read from the shared checkpoint folder
+    split = materialize(temporal_split(materialize(training), test_frac, val_frac, time_col, id_col))
     state = fit(split.filter(F.col("split") == "train"), exclude=(exclude or []) + [id_col, "split"])
     amt = "amount_paid" if "amount_paid" in training.columns else "send_amount"
     base = split.withColumns({"y": F.col("label").cast("int"), "amount": F.col(amt).try_cast("double")})

@@ -24,7 +24,7 @@ def known_fields(doc_type: str) -> list[str]:
 
 def _keys(docs: DataFrame, doc: str = "doc", extra: dict | None = None) -> DataFrame:
     return docs.select(*[c.alias(n) for n, c in (extra or {}).items()],
-                       F.explode(F.json_object_keys(F.to_json(F.col(doc)))).alias("field"))
+                       F.explode(F.map_keys(F.try_variant_get(F.col(doc), "$", "map<string,variant>"))).alias("field"))
 
 
 def profile_presence(docs: DataFrame, doc_type: str, doc: str = "doc") -> DataFrame:

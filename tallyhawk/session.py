@@ -66,3 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage for a frame read by several passes: a reliable checkpoint
+    in the shared checkpoint folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
