@@ -18,8 +18,9 @@ def _parsed(spark, sf_dir):
     return LB.parse_chargebacks(FX.chargebacks_raw(spark, sf_dir), FX.FIXTURE_SALT)
 
 
-def _matched(spark, sf_dir):
-    return LB.match_to_transfers(_parsed(spark, sf_dir), FX.transfer_table(spark, sf_dir))
+def _matched(spark, sf_dir, transfers=None):
+    t = transfers if transfers is not None else FX.transfer_table(spark, sf_dir)
+    return LB.match_to_transfers(_parsed(spark, sf_dir), t)
 
 
 @query("latest_flag_verdict", LBL + f"""
@@ -99,7 +100,7 @@ def typology_mix(spark, sf_dir):
 
 def _details(spark, sf_dir, transfers=None):
     t = transfers if transfers is not None else FX.transfer_table(spark, sf_dir)
-    return LB.label_details(FX.flags(spark, sf_dir), t, _matched(spark, sf_dir))
+    return LB.label_details(FX.flags(spark, sf_dir), t, _matched(spark, sf_dir, t))
 
 
 @query("build_labels", LBL + f"""
