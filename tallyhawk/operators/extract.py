@@ -44,11 +44,15 @@ def vpath(field: str, *more: str) -> str:
     return "$" + "".join(f"['{p}']" for p in field.split(".") + list(more))
 
 
-def read_field(doc: str, field: str, typ: str | None = None, keep_blank: bool = False) -> Column:
+def read_field(doc: str, field: str, typ: str | None = None, keep_blank: bool = False,
+               relative: bool = False) -> Column:
     """Typed value at a dotted path with extended-JSON wrappers unwrapped;
-    a gap in the path or (unless ``keep_blank``) a blank string is null."""
+    a gap in the path or (unless ``keep_blank``) a blank string is null.
+    ``relative``: ``doc`` already holds the value of the path's first part
+    and ``field`` is the rest (possibly empty)."""
     typ = typ or field_type(field)
-    g = lambda *p, t: F.try_variant_get(F.col(doc), vpath(field, *p), t)
+    parts = [p for p in field.split(".") if p] if relative else field.split(".")
+    g = lambda *p, t: F.try_variant_get(F.col(doc), "$" + "".join(f"['{x}']" for x in parts + list(p)), t)
     if typ == "string":
         v = F.coalesce(g("$oid", t="string"), g(t="string"))
         return v if keep_blank else blank_to_null(v)
@@ -95,8 +99,19 @@ def extract_collection(docs: DataFrame, doc_type: str, salt: str, doc: str = "do
     fields = list(dict.fromkeys([f for _c, f, _h in plan] + [a for al in canon.values() for a in al]))
     text_like = {f for _c, f, h in plan if h != "typed"} | {a for al in canon.values() for a in al}
     raw = {f: f"_r{i}" for i, f in enumerate(fields)}
-    stage1 = docs.select(*[(read_field(doc, f, "string", keep_blank=True) if f in text_like
-                            else read_field(doc, f)).alias(raw[f]) for f in fields])
+    # stage 0: each top-level member of the document once (null when absent,
+    # so every probe below on an absent field is a null check)
+    tops = list(dict.fromkeys(f.split(".")[0] for f in fields))
+    top_col = {t: f"_t{i}" for i, t in enumerate(tops)}
+    stage0 = docs.select(*[F.try_variant_get(F.col(doc), vpath(t), "variant").alias(top_col[t]) for t in tops])
+
+    def sub_read(f: str, typ: str | None, keep_blank: bool = False) -> Column:
+        head, *rest = f.split(".")
+        return read_field(top_col[head], ".".join(rest), typ or field_type(f), keep_blank=keep_blank,
+                          relative=True)
+
+    stage1 = stage0.select(*[(sub_read(f, "string", keep_blank=True) if f in text_like
+                              else sub_read(f, None)).alias(raw[f]) for f in fields])
     # stage 2: blank -> null for text, normalised key text for hashing
     from tallyhawk.functions.columns import strip_ws
     s2 = {}

@@ -26,9 +26,11 @@ def _num(c) -> Column:
 
 
 def _join_on(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Join per key; without keys ``b`` is a one-row aggregate and is
+    broadcast (a constant-key shuffle join would put every row in one task)."""
     if keys:
         return a.join(b, keys, "inner")
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
 def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",

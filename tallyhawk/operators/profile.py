@@ -33,7 +33,8 @@ def profile_presence(docs: DataFrame, doc_type: str, doc: str = "doc") -> DataFr
     counts = _keys(docs, doc).groupBy("field").agg(F.count(F.lit(1)).alias("n_present"))
     known = spark.createDataFrame([(k,) for k in known_fields(doc_type)], "field string") \
                  .withColumn("in_contract", F.lit(True))
-    out = (counts.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one")
+    # one-row total: broadcast (never a constant-key shuffle)
+    out = (counts.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
                  .join(F.broadcast(known), "field", "left"))          # contract-sized table
     return out.select("field", "n_present", (F.col("n_present") / F.col("_n")).alias("rate"),
                       (F.col("n_present") < F.col("_n")).alias("variable"),
@@ -57,7 +58,7 @@ def profile_discriminator_variance(docs: DataFrame, doc_type: str = "transfer",
         disc_seen = present.filter(F.col("field") == disc.split(".")[0]).agg(F.sum("_c").alias("_seen"))
         n_groups = sizes.agg(F.count(F.lit(1)).alias("_groups"))
         overall = present.groupBy("field").agg(F.sum("_c").alias("_fc"))
-        variable = (overall.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one")
+        variable = (overall.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
                            .filter(F.col("_fc") < F.col("_n")).select("field"))
         rates = (present.join(sizes, "grp").join(variable, "field", "left_semi")
                         .withColumn("rate", F.col("_c") / F.col("_gn")))
@@ -65,8 +66,8 @@ def profile_discriminator_variance(docs: DataFrame, doc_type: str = "transfer",
             F.max("rate").alias("_max"), F.min("rate").alias("_min"), F.count(F.lit(1)).alias("_ng"),
             F.array_sort(F.collect_list(F.when(F.col("rate") > 0.9, F.col("grp")))).alias("_in"))
         per = (per.withColumn("_one", F.lit(1))
-                  .join(n_groups.withColumn("_one", F.lit(1)), "_one")
-                  .join(disc_seen.withColumn("_one", F.lit(1)), "_one"))
+                  .join(F.broadcast(n_groups.withColumn("_one", F.lit(1))), "_one")
+                  .join(F.broadcast(disc_seen.withColumn("_one", F.lit(1))), "_one"))
         eff_min = F.when(F.col("_ng") < F.col("_groups"), F.lit(0.0)).otherwise(F.col("_min"))
         flagged = per.filter((F.col("_groups") >= 2) & (F.coalesce(F.col("_seen"), F.lit(0)) > 0)
                              & (F.col("_max") > 0.9) & (eff_min < 0.1))

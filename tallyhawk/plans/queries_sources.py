@@ -110,7 +110,11 @@ def textualise(df):
 
 
 def docs(spark, sf_dir, doc_type="transfer"):
-    return D.parse_documents(D.BUILDERS[doc_type](spark, sf_dir))
+    """The collection as exported NDJSON files (written once to the shared
+    scratch folder from the driver's tables), scanned into VARIANT."""
+    path = scratch_path(spark, f"{doc_type}-docs")
+    D.BUILDERS[doc_type](spark, sf_dir).write.text(path)
+    return D.read_documents(spark, path)
 
 
 def _extract_query(doc_type):
