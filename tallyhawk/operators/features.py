@@ -186,16 +186,31 @@ IDENTITY_DROP = ["_id", "user_id", "recipient_id", TIME, "user_user_id", "recipi
 
 def assemble(transfers: DataFrame, users: DataFrame | None, recipients: DataFrame | None,
              labels: DataFrame | None, keep_ids: bool = False) -> DataFrame:
-    """Full training table: enrich, then time, ages, user, transfer (strips
-    staging), code, velocity, history; identities dropped at the end."""
-    df = enrich_transfers(transfers, users, recipients, labels)
-    df = derive_time_features(df)
+    """Full training table: time, velocity and history on the transfers,
+    then enrich, ages, user, transfer (strips staging), code; identities
+    dropped at the end.
+
+    Velocity and history need only transfer columns, so they run before the
+    enrichment joins: the history's per-bucket count pass then re-reads the
+    narrow transfer projection instead of recomputing the joins and labels.
+    The left joins keep every transfer exactly once (deduplicated right
+    sides), so the order does not change any value. Columns keep the order
+    enrich -> time -> derived -> velocity -> history.
+    """
+    timed = derive_time_features(transfers)
+    time_cols = timed.columns[len(transfers.columns):]
+    base = add_recipient_history(add_velocity_features(timed, key="user_id"))
+    windowed = base.columns[len(timed.columns):]
+    df = enrich_transfers(base, users, recipients, labels)
+    joined = df.columns
     df = add_account_ages(df)
     df = derive_user_features(df)
     df = derive_transfer_features(df)
     df = normalize_description_code(df)
-    df = add_velocity_features(df, key="user_id")
-    df = add_recipient_history(df)
+    kept, moved = set(df.columns), set(time_cols) | set(windowed)
+    derived = [c for c in df.columns if c not in set(joined)]
+    order = [c for c in joined if c in kept and c not in moved] + time_cols + derived + windowed
+    df = df.select(*order)
     if keep_ids:
         return df
     return df.drop(*[c for c in IDENTITY_DROP if c in df.columns])
