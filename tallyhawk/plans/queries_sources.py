@@ -8,6 +8,8 @@ carries (absent fields are null).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
@@ -109,11 +111,20 @@ def textualise(df):
     return df.withColumns(cols) if cols else df
 
 
+_EXPORTED: dict[tuple[str, str, str], str] = {}
+
+
 def docs(spark, sf_dir, doc_type="transfer"):
-    """The collection as exported NDJSON files (written once to the shared
-    scratch folder from the driver's tables), scanned into VARIANT."""
-    path = scratch_path(spark, f"{doc_type}-docs")
-    D.BUILDERS[doc_type](spark, sf_dir).write.text(path)
+    """The collection as exported NDJSON files, scanned into VARIANT. The
+    export is rendered from the driver's tables into the shared scratch
+    folder once per application and source folder, like a provider dump
+    that later jobs read."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), doc_type)
+    path = _EXPORTED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"{doc_type}-docs")
+        D.BUILDERS[doc_type](spark, sf_dir).write.text(path)
+        _EXPORTED[key] = path
     return D.read_documents(spark, path)
 
 
