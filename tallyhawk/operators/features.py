@@ -150,11 +150,12 @@ def add_recipient_history(df: DataFrame, user: str = "user_id", recipient: str =
 
 
 def enrich_transfers(transfers: DataFrame, users: DataFrame | None, recipients: DataFrame | None,
-                     labels: DataFrame | None) -> DataFrame:
+                     labels) -> DataFrame:
     """Left-join user (``user_`` prefix) and recipient (``recipient_``
-    prefix) columns, then labels. The right sides are deduplicated on their
-    key so a repeated key can never fan transfers out; AQE picks broadcast or
-    sort-merge from runtime sizes."""
+    prefix) columns, then labels: a label table joined on ``_id``, or a
+    function that attaches label columns (``labels.attach_labels``). The
+    right sides are deduplicated on their key so a repeated key can never fan
+    transfers out; AQE picks broadcast or sort-merge from runtime sizes."""
     df = transfers
     if users is not None:
         u = users.dropDuplicates(["_id"])
@@ -166,7 +167,9 @@ def enrich_transfers(transfers: DataFrame, users: DataFrame | None, recipients:
                "bank_name": "recipient_doc_bank_name"}
         r = r.select(*[F.col(c).alias(ren.get(c, f"recipient_{c}")) for c in r.columns])
         df = df.join(r, "recipient_id", "left")
-    if labels is not None:
+    if callable(labels) and not isinstance(labels, DataFrame):
+        df = labels(df)          # attaches label columns in place (one row per _id)
+    elif labels is not None:
         df = df.join(labels.select("_id", "label", "label_source").dropDuplicates(["_id"]), "_id", "left")
     return df
 
@@ -185,7 +188,7 @@ IDENTITY_DROP = ["_id", "user_id", "recipient_id", TIME, "user_user_id", "recipi
 
 
 def assemble(transfers: DataFrame, users: DataFrame | None, recipients: DataFrame | None,
-             labels: DataFrame | None, keep_ids: bool = False) -> DataFrame:
+             labels, keep_ids: bool = False) -> DataFrame:
     """Full training table: time, velocity and history on the transfers,
     then enrich, ages, user, transfer (strips staging), code; identities
     dropped at the end.

@@ -149,18 +149,23 @@ def chargeback_match_rate(matched: DataFrame) -> DataFrame:
     return r.withColumns({"match_pct": rate, "low_match_warning": rate < 90})
 
 
-def label_details(flags: DataFrame | None, transfers: DataFrame,
-                  chargebacks: DataFrame | None = None, **flag_names) -> DataFrame:
-    """One row per transfer: _id, label, label_source, verdict_date, plus the
-    verdict label before any chargeback override (for the audit)."""
-    out = transfers.select("_id")
+def attach_labels(df: DataFrame, flags: DataFrame | None, chargebacks: DataFrame | None = None,
+                  details: bool = False, **flag_names) -> DataFrame:
+    """Left-join the label of each ``_id`` onto ``df`` (``_id`` first, then
+    df's other columns, then label and label_source; with ``details`` also
+    verdict_date and the verdict label before any chargeback override).
+
+    The latest verdict and the chargeback hits are one row per ``_id``, so no
+    row of ``df`` is repeated or lost, and a wide frame takes its labels in
+    the same joins instead of joining a separately built label table.
+    """
+    out = df
     if flags is not None:
         latest = latest_flag_verdict(flags, **flag_names)
         out = out.join(latest, "_id", "left")
     else:
         out = out.withColumns({"label": F.lit(None).cast("int"), "label_source": F.lit(None).cast("string"),
                                "verdict_date": F.lit(None).cast("timestamp")})
-    out = out.withColumn("verdict_label", F.col("label"))
     if chargebacks is not None:
         hits = (chargebacks.filter(F.col("_id").isNotNull()).select("_id").distinct()
                            .withColumn("_cb", F.lit(True)))
@@ -169,12 +174,20 @@ def label_details(flags: DataFrame | None, transfers: DataFrame,
     else:
         hit = F.lit(False)
     never = F.col("label").isNull()
+    extra = ["verdict_date", F.col("label").alias("verdict_label")] if details else []
     return out.select(
-        "_id",
+        "_id", *[c for c in df.columns if c != "_id"],
         F.when(hit, F.lit(1)).when(never, F.lit(0)).otherwise(F.col("label")).cast("int").alias("label"),
         F.when(hit, F.lit(K.SOURCE_CHARGEBACK)).when(never, F.lit(K.SOURCE_ASSUMED))
          .otherwise(F.col("label_source")).alias("label_source"),
-        "verdict_date", "verdict_label")
+        *extra)
+
+
+def label_details(flags: DataFrame | None, transfers: DataFrame,
+                  chargebacks: DataFrame | None = None, **flag_names) -> DataFrame:
+    """One row per transfer: _id, label, label_source, verdict_date, plus the
+    verdict label before any chargeback override (for the audit)."""
+    return attach_labels(transfers.select("_id"), flags, chargebacks, details=True, **flag_names)
 
 
 def build_labels(flags: DataFrame | None, transfers: DataFrame,

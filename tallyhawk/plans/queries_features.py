@@ -63,10 +63,20 @@ def _enriched(spark, sf_dir, with_labels=False):
     return FT.enrich_transfers(t, FX.user_table(spark, sf_dir), FX.recipient_table(spark, sf_dir), labels)
 
 
+def _matched_chargebacks(spark, sf_dir, transfers):
+    return LB.match_to_transfers(LB.parse_chargebacks(FX.chargebacks_raw(spark, sf_dir), FX.FIXTURE_SALT),
+                                 transfers)
+
+
 def _labels(spark, sf_dir, transfers):
-    cb = LB.match_to_transfers(LB.parse_chargebacks(FX.chargebacks_raw(spark, sf_dir), FX.FIXTURE_SALT),
-                               transfers)
-    return LB.build_labels(FX.flags(spark, sf_dir), transfers, cb)
+    return LB.build_labels(FX.flags(spark, sf_dir), transfers, _matched_chargebacks(spark, sf_dir, transfers))
+
+
+def _label_attacher(spark, sf_dir, transfers):
+    """Labels joined straight onto the frame being assembled (no separate
+    per-transfer label table to build and join)."""
+    flags, cb = FX.flags(spark, sf_dir), _matched_chargebacks(spark, sf_dir, transfers)
+    return lambda df: LB.attach_labels(df, flags, cb)
 
 
 ENR = with_views("transfers_o", "users", "recipients", "flags", "chargebacks_raw",
@@ -192,7 +202,7 @@ def join_match_rate(spark, sf_dir):
 def training_table(spark, sf_dir, keep_ids=False):
     t = FX.transfer_table(spark, sf_dir)
     return FT.assemble(t, FX.user_table(spark, sf_dir), FX.recipient_table(spark, sf_dir),
-                       _labels(spark, sf_dir, t), keep_ids=keep_ids)
+                       _label_attacher(spark, sf_dir, t), keep_ids=keep_ids)
 
 
 @query("row_count_reconciliation", with_views("transfers_o") + """
