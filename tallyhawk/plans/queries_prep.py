@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyhawk.operators import prep as PR
 from tallyhawk.plans.catalog import query, ts_sql, ts_text
 from tallyhawk.plans.oracle_views import with_views
-from tallyhawk.plans.queries_features import _labels
+from tallyhawk.plans.queries_features import _label_attacher
 from tallyhawk.plans.sql_blocks import LABEL_CTES
 from tallyhawk.sources import fixtures as FX
 
@@ -18,11 +18,11 @@ def prep_frame(spark, sf_dir):
     t = FX.transfer_table(spark, sf_dir)
     cust = FX.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     nation = FX.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    labels = _labels(spark, sf_dir, t)
-    return (t.select("_id", "user_id", "date", "send_amount", F.col("paymentProvider").alias("provider"),
+    attach = _label_attacher(spark, sf_dir, t)
+    base = (t.select("_id", "user_id", "date", "send_amount", F.col("paymentProvider").alias("provider"),
                      "amount_paid")
-             .join(cust, "user_id", "left").join(F.broadcast(nation), "c_nationkey", "left")
-             .join(labels.select("_id", "label", "label_source"), "_id", "left")
+             .join(cust, "user_id", "left").join(F.broadcast(nation), "c_nationkey", "left"))
+    return (attach(base)
              .withColumn("channel", F.lit("web"))
              .select("_id", "date", "send_amount", "provider", "n_name", "c_name", "channel",
                      "label", "label_source", "amount_paid"))
