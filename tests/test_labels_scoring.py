@@ -44,6 +44,25 @@ def test_chargeback_overrides(spark):
     assert r["n"] == (1, K.SOURCE_CHARGEBACK)
 
 
+def test_attach_labels_keeps_rows_and_matches_label_table(spark):
+    """Labels joined onto a wide frame equal the label table joined on _id;
+    every row stays exactly once, also with repeated flag/chargeback ids."""
+    d = lambda n: D + dt.timedelta(days=n)
+    f = _flags(spark, [("a", "flag", d(0), 1), ("a", "flag", d(0), 2), ("b", "unflag", d(1), 1),
+                       ("c", "flag", d(0), 1), ("c", "unflag", d(0), 1)])
+    wide = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, None), ("c", 3.0, "z"), ("n", 4.0, "w")],
+                                 "_id string, amt double, tag string")
+    cb = spark.createDataFrame([("n",), ("n",), (None,)], "_id string")
+    got = LB.attach_labels(wide, f, cb)
+    assert got.columns == ["_id", "amt", "tag", "label", "label_source"]
+    want = wide.join(LB.build_labels(f, wide, cb), "_id", "left")
+    rows = lambda df: sorted(tuple(r) for r in df.select(*got.columns).collect())
+    assert rows(got) == rows(want)
+    assert got.count() == wide.count()
+    r = {x["_id"]: (x["label"], x["label_source"]) for x in got.collect()}
+    assert r["c"] == (0, K.SOURCE_CLEARED)           # same date and seq: unflag sorts last
+    assert r["n"] == (1, K.SOURCE_CHARGEBACK)
+
 def test_flag_checks_raise(spark):
     with pytest.raises(LB.FlagHistoryError):
         LB.check_flag_history(_flags(spark, [("a", "quarantine", D, 1)]))
