@@ -119,3 +119,30 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "n_turns", F.sha2(F.array_join("rows.said", ""), 256).alias("turns_sha256"),
         F.length(F.array_join("rows.loss", "")).cast("long").alias("loss_chars"),
         F.sha2(F.array_join("rows.loss", ""), 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.simhash import simhash_groups
+    out = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
+@query("op8_embeddings", r"""
+with v as (select vec_id, label, embedding::double[] as e from embeddings
+           where label is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as u, b.vec_id as v from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+      where list_cosine_similarity(a.e, b.e) >= 0.93),
+n as (select u, count(*) as n from l group by u),
+r as (with recursive reach(u, v) as (select u, v from l union select reach.u, l.v from reach join l on reach.v = l.u)
+      select u, min(v) as least from reach group by u)
+select e.vec_id, coalesce(n.n, 0)::bigint as n_links, least(e.vec_id, coalesce(r.least, e.vec_id)) as component_id,
+       e.vec_id = least(e.vec_id, coalesce(r.least, e.vec_id)) as kept
+from embeddings e left join n on e.vec_id = n.u left join r on e.vec_id = r.u""")
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.vectors import near_duplicates
+    out = near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
