@@ -146,3 +146,19 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.vectors import near_duplicates
     out = near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+def digests(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, ids, text: the decoded text) to the digest columns."""
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tallyhawk.llm.bpe import decode, encode
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return digests(decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path))

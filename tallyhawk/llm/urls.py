@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhawk.llm.common import saved
+
 #: (verdict, host, path)
 RULES = (
     ("allow", "com", "/"),
@@ -81,6 +83,7 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     hosts = (outcomes.groupBy("host").agg(F.count("good").alias("n"),
                                           F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"))
              .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = saved(hosts, "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     level = suffixes.crossJoin(suffixes.agg(  # one row
