@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: white space of the file's patterns (fixed value)
-SPACE = r"\t\n\v\f\r \x85\xa0  -     　"
+SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: words kept per task with their tokens, and ids per output batch
 CACHED_WORDS = 200_000
 BATCH_IDS = 2_000_000

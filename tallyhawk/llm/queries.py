@@ -162,3 +162,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.bpe import decode, encode
     path = public_tokenizers.path("word_bpe_49k.json")
     return digests(decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path))
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.quality import classify
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                    table(spark, sf_dir, "labels").select("doc_id", "quality"))
