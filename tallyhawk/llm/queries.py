@@ -169,3 +169,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.quality import classify
     return classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
                     table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.toxicity import tag
+    return tag(table(spark, sf_dir, "documents").select("doc_id", "text"),
+               table(spark, sf_dir, "labels").select("doc_id", "toxic")).drop("spans")
