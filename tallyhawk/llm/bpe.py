@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhawk.llm.common import cut, fresh
+
 #: white space of the file's patterns (fixed value)
 SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: words kept per task with their tokens, and ids per output batch
@@ -189,17 +191,6 @@ class Worker:
         return " ".join([t for t in map(get, ids) if t is not None])
 
 
-def _cut(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``most`` of ``sizes`` at most, one row at least."""
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(sizes):
-        done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def _append(name: str, kind: pa.DataType, make):
     """A mapInArrow function that adds one column made from the last one, a
     few rows at a time."""
@@ -209,7 +200,7 @@ def _append(name: str, kind: pa.DataType, make):
             col = batch.column(batch.num_columns - 1)
             size = pa.compute.list_value_length if pa.types.is_list(col.type) else pa.compute.binary_length
             sizes = np.asarray(size(col).fill_null(0))
-            for part in _cut(batch, sizes, BATCH_IDS):
+            for part in cut(batch, sizes, BATCH_IDS):
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], convert(part.column(part.num_columns - 1), kind)],
                     [*part.schema.names[:-1], name])
@@ -252,13 +243,6 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "tex
         return lambda col, kind: pa.array([worker.decode(x or ()) for x in col.to_pylist()], kind)
 
     kept = [c for c in rows.columns if c != out_col]
-    plan = rows.select(*kept, F.col(ids_col).cast("array<int>").alias(_unused(kept)))
+    plan = rows.select(*kept, F.col(ids_col).cast("array<int>").alias(fresh(rows, "coded")[0]))
     schema = rows.select(*kept, F.lit(None).cast("string").alias(out_col)).schema
     return plan.mapInArrow(_append(out_col, pa.string(), make), schema)
-
-
-def _unused(names: list[str]) -> str:
-    name = "_coded"
-    while name in names:
-        name = f"_{name}"
-    return name

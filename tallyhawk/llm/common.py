@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,14 @@ def null_key(c: Column | str) -> Column:
     """A never-null text that tells a null from every string, for joins."""
     c = F.col(c) if isinstance(c, str) else c
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), c.cast("string")))
+
+
+def cut(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` of ``sizes`` at most, one row at least."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to

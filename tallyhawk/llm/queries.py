@@ -176,3 +176,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.toxicity import tag
     return tag(table(spark, sf_dir, "documents").select("doc_id", "text"),
                table(spark, sf_dir, "labels").select("doc_id", "toxic")).drop("spans")
+
+
+@query("op10_suffix")
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.suffixes import remove_repeats
+    out, c = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(c["n_bytes"]).alias("n_bytes"),
+                      F.aggregate(c["removed"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+                      F.size(c["removed"]).cast("long").alias("n_spans"),
+                      F.sha2(c["kept"], 256).alias("kept_sha256"))
