@@ -307,29 +307,42 @@ def repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tupl
     return spans, groups
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the last two columns (data, spans) by (data, removed, n_bytes, n_removed)."""
-    for batch in batches:
-        sizes = np.array([len(x.as_buffer()) for x in batch.column(batch.num_columns - 2)], np.int64)
-        for part in cut(batch, sizes, PIECE_BYTES):
-            kept, runs, counts = [], [], []
-            for data, spans in zip(part.column(part.num_columns - 2).to_pylist(),
-                                   part.column(part.num_columns - 1).to_pylist(), strict=True):
-                start = np.array([s["start"] for s in spans or ()], np.int64)
-                end = start + np.array([s["size"] for s in spans or ()], np.int64)
-                _, start, end = merged(np.zeros(len(start), np.int64), start, end)
-                at, out = 0, []
-                for s, e in zip(start.tolist(), end.tolist(), strict=True):
-                    out.append(data[at:s])
-                    at = e
-                kept.append(b"".join([*out, data[at:]]))
-                runs.append([{"start": s, "end": e} for s, e in zip(start.tolist(), end.tolist(), strict=True)])
-                counts.append(len(data))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-2], pa.array(kept, pa.binary()),
-                 pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(counts, pa.int64())],
-                [*part.schema.names[:-2], "_kept", "_removed", "_n_bytes"])
+def _cut_out(whole_characters: bool):
+    """Replaces the last two columns (data, spans) by (kept, removed, n_bytes)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.array([len(x.as_buffer()) for x in batch.column(batch.num_columns - 2)], np.int64)
+            for part in cut(batch, sizes, PIECE_BYTES):
+                kept, runs, counts = [], [], []
+                for data, spans in zip(part.column(part.num_columns - 2).to_pylist(),
+                                       part.column(part.num_columns - 1).to_pylist(), strict=True):
+                    start = np.array([s["start"] for s in spans or ()], np.int64)
+                    end = start + np.array([s["size"] for s in spans or ()], np.int64)
+                    _, start, end = merged(np.zeros(len(start), np.int64), start, end)
+                    if whole_characters:
+                        start, end = _inward(data, start, end)
+                    at, out = 0, []
+                    for s, e in zip(start.tolist(), end.tolist(), strict=True):
+                        out.append(data[at:s])
+                        at = e
+                    kept.append(b"".join([*out, data[at:]]))
+                    runs.append([{"start": s, "end": e} for s, e in zip(start.tolist(), end.tolist(), strict=True)])
+                    counts.append(len(data))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-2], pa.array(kept, pa.binary()),
+                     pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                     pa.array(counts, pa.int64())],
+                    [*part.schema.names[:-2], "_kept", "_removed", "_n_bytes"])
+    return run
+
+
+def _inward(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs without the bytes of characters that are not wholly inside."""
+    inner = np.append((np.frombuffer(data, np.uint8) & 0xC0) == 0x80, False)
+    for _ in range(3):
+        start, end = start + inner[start], end - inner[end]
+    some = start < end
+    return start[some], end[some]
 
 
 def ordered(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
@@ -344,12 +357,21 @@ def ordered(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     return saved(placed, "ordered-docs"), name
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with the texts that stay; characters stay whole."""
+    out, names = remove_repeats(docs, id_col=id_col, text_col=text_col, whole_characters=True, **options)
+    text = F.col(names["kept"]).cast("string")
+    return out.select(*[text.alias(c) if c == text_col else c for c in docs.columns])
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET, id_col: str = "doc_id",
-                   text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+                   text_col: str = "text", keep: list[str] | None = None,
+                   whole_characters: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """``keep`` (all columns but the text unless given) of every row of ``docs``
     and the columns kept (binary: the bytes that stay), removed (array of
     {start, end}, maximal runs in bytes) and n_bytes, under names that clash
-    with none of ``docs``; returns the names too.
+    with none of ``docs``; returns the names too. With ``whole_characters`` a
+    character that is only partly covered stays.
 
     Null texts count as empty; texts shorter than ``length`` stay whole; a
     long text is taken apart in pieces that overlap. Of exact copies the one
@@ -367,5 +389,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
     typed = joined.select(*keep, F.col(data).alias("_kept"),
                           F.lit(None).cast("array<struct<start:long,end:long>>").alias("_removed"),
                           F.lit(None).cast("long").alias("_n_bytes"))
-    out = joined.mapInArrow(_cut_out, typed.schema).toDF(*keep, kept, removed, n_bytes)
+    out = joined.mapInArrow(_cut_out(whole_characters), typed.schema).toDF(*keep, kept, removed, n_bytes)
     return out, {"kept": kept, "removed": removed, "n_bytes": n_bytes}
