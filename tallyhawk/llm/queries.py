@@ -186,3 +186,17 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.aggregate(c["removed"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
                       F.size(c["removed"]).cast("long").alias("n_spans"),
                       F.sha2(c["kept"], 256).alias("kept_sha256"))
+
+
+@query("op1_topk", r"""
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+      from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5""")
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.topk import top_k
+    out = top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0)
+    return out.withColumnRenamed("id", "vec_id")
