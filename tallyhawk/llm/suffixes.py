@@ -384,8 +384,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
     whole = docs.select(F.col(order).cast("long").alias(ord_), *keep,
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias(data))
     spans, _ = repeats(whole.select(F.col(ord_).alias("ord"), F.col(data).alias("data")), length, bucket)
-    by_doc = spans.groupBy("ord").agg(F.collect_list(F.struct("start", "size")).alias(spans_name))
-    joined = whole.join(by_doc, F.col(ord_) == by_doc["ord"], "left").select(*keep, data, spans_name)
+    by_doc = spans.groupBy(F.col("ord").alias(ord_)).agg(F.collect_list(F.struct("start", "size")).alias(spans_name))
+    joined = whole.join(by_doc, ord_, "left").select(*keep, data, spans_name)
     typed = joined.select(*keep, F.col(data).alias("_kept"),
                           F.lit(None).cast("array<struct<start:long,end:long>>").alias("_removed"),
                           F.lit(None).cast("long").alias("_n_bytes"))

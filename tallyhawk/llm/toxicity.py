@@ -33,7 +33,7 @@ LEAST_RATIO, BY_CHANCE = 8.0, 0.5
 #: toxic sample documents from which on the document score is fitted on a part of its own
 OWN_PART = 60
 ROUNDS, RATE, DECAY = 40, 0.25, 1e-5
-PER_CLASS = 1200
+PER_CLASS = 800
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
 CACHED_WORDS = 200_000
 CHAIN_TOKENS = 400_000
