@@ -103,38 +103,36 @@ FLAG_FIELDS = [
 ]
 
 # FIXED VALUES: fields listed as excluded (never read; known to the profile).
-TRANSFER_DROPPED = (
-    "equivalent_send_amount receive_amount amount_converted equivalent_transfer_fee "
-    "description ipDetails.location.latitude ipDetails.location.longitude status "
-    "payment_status payment_partner_status payout_partner_status isPendingPayment "
-    "flag_status date_flagged retry retry_receipt_number paymentWebhooks payoutWebhooks "
-    "paymentWebhookProcessed payoutWebhookProcessed omnexPayoutReceiveEvent isHoldMailSent "
-    "sender_name sender_phone_number recipient_name recipient_phone_number "
-    "recipient_phone_number_intl recipient_account_number last_account_num paymentLinkUrl "
-    "receiptUrl payout_callback_url relationship sourceOfFunds referral_redeemed "
-    "referral_code receipt_number recipient_bank_code scenarioId licensorHolder "
-    "isDowngraded3Ds nmi3dsData ach_type interchange_type omnexCalculateTransferResult "
-    "ignorePartnerProvider socketID account_id sender_id pst_created_date"
-).split()
-USER_DROPPED = (
-    "ssn password pin passwordResetToken plaid_income_user_token plaid_asset_report_token "
-    "notification_token email emails full_name first_name last_name names phone_number "
-    "phone_numbers addresses address state_id_num ip_address flag_status date_flagged "
-    "isMonitored date_monitored flag_exempt flag_exemptions avs_exempt "
-    "card_deletion_limit_exempt aml_ctf_status accountVerified emailVerified "
-    "proof_of_funds_verification threshold_monthly_levels threshold_six_months_levels "
-    "threshold_fifteen_days_level threshold_two_months_levels previousThreshold "
-    "customer_id isPayoutRequestPending stateId licensor acceptTerms "
-    "isBusinessFormCompleted activateMigrationPrompt forcePlaidRegistration "
-    "isProofOfFundsReset currentDeviceBuildNumber currentDeviceInfo "
-    "isLimitNotificationPromptActivated"
-).split()
-RECIPIENT_DROPPED = (
-    "recipient_id account_number phone_number phone_number_intl name "
-    "recipient_first_name recipient_last_name recipient_city bank_code flag_status "
-    "isDelete relationship_id omnexRelationshipId externalIds externalBankDetails "
-    "externalPhoneDetails"
-).split()
+TRANSFER_DROPPED = [
+    "equivalent_send_amount", "receive_amount", "amount_converted", "equivalent_transfer_fee",
+    "description", "ipDetails.location.latitude", "ipDetails.location.longitude", "status",
+    "payment_status", "payment_partner_status", "payout_partner_status", "isPendingPayment", "flag_status",
+    "date_flagged", "retry", "retry_receipt_number", "paymentWebhooks", "payoutWebhooks",
+    "paymentWebhookProcessed", "payoutWebhookProcessed", "omnexPayoutReceiveEvent", "isHoldMailSent",
+    "sender_name", "sender_phone_number", "recipient_name", "recipient_phone_number",
+    "recipient_phone_number_intl", "recipient_account_number", "last_account_num", "paymentLinkUrl",
+    "receiptUrl", "payout_callback_url", "relationship", "sourceOfFunds", "referral_redeemed",
+    "referral_code", "receipt_number", "recipient_bank_code", "scenarioId", "licensorHolder",
+    "isDowngraded3Ds", "nmi3dsData", "ach_type", "interchange_type", "omnexCalculateTransferResult",
+    "ignorePartnerProvider", "socketID", "account_id", "sender_id", "pst_created_date",
+]
+USER_DROPPED = [
+    "ssn", "password", "pin", "passwordResetToken", "plaid_income_user_token", "plaid_asset_report_token",
+    "notification_token", "email", "emails", "full_name", "first_name", "last_name", "names",
+    "phone_number", "phone_numbers", "addresses", "address", "state_id_num", "ip_address", "flag_status",
+    "date_flagged", "isMonitored", "date_monitored", "flag_exempt", "flag_exemptions", "avs_exempt",
+    "card_deletion_limit_exempt", "aml_ctf_status", "accountVerified", "emailVerified",
+    "proof_of_funds_verification", "threshold_monthly_levels", "threshold_six_months_levels",
+    "threshold_fifteen_days_level", "threshold_two_months_levels", "previousThreshold", "customer_id",
+    "isPayoutRequestPending", "stateId", "licensor", "acceptTerms", "isBusinessFormCompleted",
+    "activateMigrationPrompt", "forcePlaidRegistration", "isProofOfFundsReset", "currentDeviceBuildNumber",
+    "currentDeviceInfo", "isLimitNotificationPromptActivated",
+]
+RECIPIENT_DROPPED = [
+    "recipient_id", "account_number", "phone_number", "phone_number_intl", "name", "recipient_first_name",
+    "recipient_last_name", "recipient_city", "bank_code", "flag_status", "isDelete", "relationship_id",
+    "omnexRelationshipId", "externalIds", "externalBankDetails", "externalPhoneDetails",
+]
 FLAG_DROPPED = ["admin", "reason", "user", "recipient", "isActive"]
 
 CONTRACTS = {

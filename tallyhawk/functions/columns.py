@@ -107,15 +107,23 @@ def is_legacy_code(c) -> Column:
     return F.coalesce(F.regexp_like(_c(c).cast("string"), F.lit(K.OBJECTID_PATTERN)), F.lit(False))
 
 
+def score_or_null(score) -> Column:
+    """A score as double; NaN is no score. Rows without a score count neither
+    as flagged nor as passed, in every metric."""
+    s = _c(score).cast("double")
+    return F.when(~F.isnan(s), s)
+
+
 def grid_index(score, steps: int = 100) -> Column:
     """Number of grid points i/steps (i = 1..steps-1) that are <= score.
 
     Threshold i is reached exactly when ``grid_index >= i``; computed from
     floor(score*steps) and corrected by one step against the exact double
-    literals, so it never disagrees with ``score >= i/steps``.
+    literals, so it never disagrees with ``score >= i/steps``. Null for a
+    null or NaN score.
     """
-    s = _c(score).cast("double")
+    s = score_or_null(score)
     k = F.floor(s * steps).cast("bigint")
     k = F.when((k + 1) / F.lit(float(steps)) <= s, k + 1).otherwise(k)
     k = F.when(k / F.lit(float(steps)) > s, k - 1).otherwise(k)
-    return F.greatest(F.lit(0), F.least(F.lit(steps - 1), k)).cast("bigint")
+    return F.when(s.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(steps - 1), k))).cast("bigint")

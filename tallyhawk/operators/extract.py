@@ -54,7 +54,13 @@ def read_field(doc: str, field: str, typ: str | None = None, keep_blank: bool =
     parts = [p for p in field.split(".") if p] if relative else field.split(".")
     g = lambda *p, t: F.try_variant_get(F.col(doc), "$" + "".join(f"['{x}']" for x in parts + list(p)), t)
     if typ == "string":
-        v = F.coalesce(g("$oid", t="string"), g(t="string"))
+        plain = g(t="string")
+        # an object is a wrapper or no text at all; a text may begin with a brace too
+        opened = F.coalesce(*[g(w, t="string") for w in ("$oid", "$numberLong", "$numberInt", "$numberDouble",
+                                                          "$numberDecimal")],
+                            g("$date", "$numberLong", t="string"), g("$date", t="string"),
+                            F.when(g(t="map<string,variant>").isNull(), plain))
+        v = F.when(plain.startswith("{"), opened).otherwise(plain)
         return v if keep_blank else blank_to_null(v)
     if typ in ("double", "bigint"):
         return F.coalesce(g("$numberDouble", t=typ), g("$numberLong", t=typ), g("$numberInt", t=typ), g(t=typ))

@@ -149,20 +149,36 @@ def add_recipient_history(df: DataFrame, user: str = "user_id", recipient: str =
                .drop("_hus", "_hb"))
 
 
+def one_per_id(df: DataFrame, key: str = "_id") -> DataFrame:
+    """One row per key: of rows that differ the greatest, column by column in
+    the order of the frame, so the choice does not depend on the run."""
+    rest = [c for c in df.columns if c != key]
+    best = df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")) if rest else df.select(key).distinct()
+    return best.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def conflicting_ids(df: DataFrame, key: str = "_id") -> DataFrame:
+    """Number of keys whose rows differ (one row); more than zero means that
+    an export is inconsistent and :func:`one_per_id` had to choose."""
+    digest = F.xxhash64(*[F.col(c) for c in df.columns])
+    per = df.groupBy(key).agg(F.min(digest).alias("lo"), F.max(digest).alias("hi"))
+    return per.agg(F.count_if(F.col("lo") != F.col("hi")).alias("conflicting_ids"))
+
+
 def enrich_transfers(transfers: DataFrame, users: DataFrame | None, recipients: DataFrame | None,
                      labels) -> DataFrame:
     """Left-join user (``user_`` prefix) and recipient (``recipient_``
     prefix) columns, then labels: a label table joined on ``_id``, or a
     function that attaches label columns (``labels.attach_labels``). The
-    right sides are deduplicated on their key so a repeated key can never fan
-    transfers out; AQE picks broadcast or sort-merge from runtime sizes."""
+    right sides keep one row per key (:func:`one_per_id`) so a repeated key can
+    never fan transfers out; AQE picks broadcast or sort-merge from runtime sizes."""
     df = transfers
     if users is not None:
-        u = users.dropDuplicates(["_id"])
+        u = one_per_id(users)
         u = u.select(*[F.col(c).alias("user_id" if c == "_id" else f"user_{c}") for c in u.columns])
         df = df.join(u, "user_id", "left")
     if recipients is not None:
-        r = recipients.dropDuplicates(["_id"])
+        r = one_per_id(recipients)
         ren = {"_id": "recipient_id", "recipient_email_domain": "recipient_email_domain",
                "bank_name": "recipient_doc_bank_name"}
         r = r.select(*[F.col(c).alias(ren.get(c, f"recipient_{c}")) for c in r.columns])
@@ -170,7 +186,7 @@ def enrich_transfers(transfers: DataFrame, users: DataFrame | None, recipients:
     if callable(labels) and not isinstance(labels, DataFrame):
         df = labels(df)          # attaches label columns in place (one row per _id)
     elif labels is not None:
-        df = df.join(labels.select("_id", "label", "label_source").dropDuplicates(["_id"]), "_id", "left")
+        df = df.join(one_per_id(labels.select("_id", "label", "label_source")), "_id", "left")
     return df
 
 

@@ -57,17 +57,24 @@ def latest_flag_verdict(flags: DataFrame, transfer: str = "transfer", action: st
     a hash aggregate with map-side partial aggregation, and a transfer with
     a huge history costs one row per task before the shuffle. ``seq`` must
     be a non-negative integer below 10^20.
+
+    Rows without an action are dropped. Any other action than flag or unflag,
+    a null transfer and a missing date raise when the plan runs, so no label
+    path can skip the checks.
     """
     dec = "decimal(38,0)"
-    us = F.unix_micros(F.col(date).cast("timestamp")).cast(dec)
-    bit = F.when(F.col(action) == "flag", F.lit(0)).otherwise(F.lit(1)).cast(dec)
+    stop = lambda what, kind: F.raise_error(F.lit(f"flag history: {what}")).cast(kind)
+    us = F.coalesce(F.unix_micros(F.col(date).cast("timestamp")), stop("a row has no usable date", "bigint")).cast(dec)
+    bit = (F.when(F.col(action) == "flag", F.lit(0)).when(F.col(action) == "unflag", F.lit(1))
+           .otherwise(stop("an action is neither flag nor unflag", "int")).cast(dec))
+    owner = F.coalesce(F.col(transfer), stop("a row has no transfer", flags.schema[transfer].dataType))
     has_seq = bool(seq) and seq in flags.columns
     if has_seq:
         key = us * F.lit(_SHIFT).cast(dec) + F.coalesce(F.col(seq), F.lit(0)).cast(dec) * 10 + bit
     else:
         key = us * 10 + bit
     f = flags.filter(F.col(action).isNotNull())
-    latest = f.groupBy(F.col(transfer).alias("_id")).agg(F.max(key).alias("_k"))
+    latest = f.groupBy(owner.alias("_id")).agg(F.max(key).alias("_k"))
     k = F.col("_k")
     scale = F.lit(_SHIFT).cast(dec) if has_seq else F.lit(10).cast(dec)
     label = F.when(F.pmod(k, F.lit(10).cast(dec)) == 0, F.lit(1)).otherwise(F.lit(0)).cast("int")

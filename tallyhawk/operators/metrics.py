@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk import contract as K
-from tallyhawk.functions.columns import grid_index, risk_band
-from tallyhawk.operators.ranking import bucket_count, exclusive_prefix, uniform_bucket
+from tallyhawk.functions.columns import grid_index, risk_band, score_or_null
+from tallyhawk.operators.ranking import exclusive_prefix, range_bucket
 
 GRID_STEPS = 100
 
@@ -25,16 +25,19 @@ def _num(c) -> Column:
     return F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def _join_on(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per key; without keys ``b`` is a one-row aggregate and is
+def _join_on(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join per key, a null key being a key like any other; without keys ``b`` is a one-row aggregate and is
     broadcast (a constant-key shuffle join would put every row in one task)."""
     if keys:
-        return a.join(b, keys, "inner")
+        same = [b[k].alias(f"_key_{k}") for k in keys]
+        b = b.select(*same, *[c for c in b.columns if c not in keys])
+        on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+        return a.join(b, on, how).drop(*[f"_key_{k}" for k in keys])
     return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
 def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",
-                    keys: list[str] | None = None) -> DataFrame:
+                    keys: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """AUROC (ties count half) and average precision (step sum over distinct
     scores, descending), plus the positive rate as the PR baseline. Null when
     a key has one class only.
@@ -43,23 +46,20 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",
     no single task ever sorts all scores.
     """
     keys = list(keys or [])
-    d = (df.filter(F.col(score).isNotNull())
+    d = (df.filter(score_or_null(F.col(score)).isNotNull())
            .groupBy(*keys, F.col(score).cast("double").alias("_s"))
            .agg(F.sum(F.col(y).cast("long")).alias("_pos"),
                 F.sum((1 - F.col(y)).cast("long")).alias("_neg")))
-    st = d.agg(F.min("_s").alias("lo"), F.max("_s").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    nb = bucket_count(st["n"] or 0)
-    # descending order: bucket index reversed so it never decreases along the order
-    d = d.withColumn("_bk", F.lit(nb - 1) - uniform_bucket(F.col("_s"), st["lo"], st["hi"], nb))
+    d = range_bucket(d, [F.col("_s").desc()], "_bk", buckets)
     p = exclusive_prefix(d, [F.col("_s").desc()], "_bk",
                          {"_pos_above": F.col("_pos"), "_neg_above": F.col("_neg")},
-                         keys=keys or None, max_buckets=nb + 1)
+                         keys=keys or None)
     tp = F.col("_pos_above") + F.col("_pos")
     fp = F.col("_neg_above") + F.col("_neg")
     r = p.groupBy(*keys).agg(
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
-        F.sum(F.col("_pos") * F.col("_neg_above")).alias("_pa"),
-        F.sum(F.col("_pos") * F.col("_neg")).alias("_pt"),
+        F.sum(F.col("_pos").cast("double") * F.col("_neg_above")).alias("_pa"),   # products outgrow a long
+        F.sum(F.col("_pos").cast("double") * F.col("_neg")).alias("_pt"),
         F.sum(F.col("_pos") * tp / (tp + fp)).alias("_ap"))
     both = (F.col("_P") > 0) & (F.col("_N") > 0)
     pn = F.col("_P").cast("double") * F.col("_N").cast("double")
@@ -72,7 +72,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",
 def threshold_metrics(df: DataFrame, threshold: float, y: str = "y", score: str = "score",
                       keys: list[str] | None = None) -> DataFrame:
     keys = list(keys or [])
-    pred = F.col(score).cast("double") >= F.lit(float(threshold))
+    pred = score_or_null(F.col(score)) >= F.lit(float(threshold))
     pos = F.col(y) == 1
     r = df.groupBy(*keys).agg(
         F.count_if(pos & pred).alias("tp"), F.count_if(~pos & pred).alias("fp"),
@@ -99,7 +99,7 @@ def cost(df: DataFrame, threshold: float, y: str = "y", score: str = "score", am
     frac = K.FN_LOSS_FRACTION if fn_loss_fraction is None else fn_loss_fraction
     fixed = K.FN_FIXED_COST if fn_fixed_cost is None else fn_fixed_cost
     fp_each = F.col(fpc).cast("double") if isinstance(fpc, str) else F.lit(float(fpc))
-    pred = F.col(score).cast("double") >= F.lit(float(threshold))
+    pred = score_or_null(F.col(score)) >= F.lit(float(threshold))
     fn_m = (F.col(y) == 1) & ~pred
     fp_m = (F.col(y) == 0) & pred
     r = df.groupBy(*keys).agg(
@@ -170,7 +170,7 @@ def threshold_curve(df: DataFrame, y: str = "y", score: str = "score", amount: s
     # complete the 0..99 bucket range per key with a generated sequence (100 rows per key)
     keyset = g.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
     full = (keyset.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(GRID_STEPS - 1).cast("bigint"))))
-                  .join(g, keys + ["_k"], "left").na.fill(0, ["_pamt", "_pcnt", "_nfp", "_ncnt"]))
+                  .transform(lambda x: _join_on(x, g, keys + ["_k"], "left")).na.fill(0, ["_pamt", "_pcnt", "_nfp", "_ncnt"]))
     below = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     from_here = Window.partitionBy(*keys).orderBy("_k").rowsBetween(0, Window.unboundedFollowing)
     c = full.select(*keys, F.col("_k").alias("i"),
@@ -217,21 +217,18 @@ def cost_grid(df: DataFrame, fp_costs=None, y: str = "y", score: str = "score",
                       (F.col("total_cost") / F.col("n") * 1_000_000).alias("cost_per_million"))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default), computed
     by rank: distinct values with counts, two-level prefix counts, then the
     values at the needed ranks (a bounded table of 2 x len(qs) rows)."""
     spark = df.sparkSession
     d = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
-    st = d.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("nd"),
-               F.sum("_c").alias("n")).first()
-    n = st["n"] or 0
+    d = range_bucket(d, [F.col("_v").asc()], "_bk", buckets)
+    n = d.agg(F.sum("_c").alias("n")).first()["n"] or 0
     if n == 0:
         return spark.createDataFrame([(float(q), None) for q in qs], "q double, value double")
-    nb = bucket_count(st["nd"])
-    d = d.withColumn("_bk", uniform_bucket(F.col("_v"), st["lo"], st["hi"], nb))
-    p = exclusive_prefix(d, [F.col("_v")], "_bk", {"_before": F.col("_c")}, max_buckets=nb + 1)
+    p = exclusive_prefix(d, [F.col("_v")], "_bk", {"_before": F.col("_c")})
     targets = []
     for q in qs:
         pos = (n - 1) * float(q)

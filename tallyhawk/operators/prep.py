@@ -11,17 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from tallyhawk import contract as K
 from tallyhawk.functions.columns import epoch_us
 from tallyhawk.operators.features import as_timestamp
-from tallyhawk.operators.ranking import global_rank
-
-# frequency maps up to this many values are broadcast (size known from the fit)
-BROADCAST_MAP_VALUES = 100_000
+from tallyhawk.operators.ranking import row_at
 
 
 def split_sizes(n: int, test_frac: float = K.TEST_FRAC, val_frac: float = K.VAL_FRAC) -> tuple[int, int, int]:
@@ -33,18 +30,24 @@ def split_sizes(n: int, test_frac: float = K.TEST_FRAC, val_frac: float = K.VAL_
 def temporal_split(df: DataFrame, test_frac: float = K.TEST_FRAC, val_frac: float = K.VAL_FRAC,
                    time_col: str = "date", id_col: str = "_id") -> DataFrame:
     """train | val | test by position in (time, id) order; a row with an
-    unparseable time raises. Adds ``split``."""
+    unparseable time raises. Adds ``split``.
+
+    Only times and ids are ordered, to find the first row of val and of test;
+    the table itself is compared with these two cuts where it lies. Rows that
+    share time and id stay together."""
     d = df.withColumn("_sus", epoch_us(as_timestamp(df, time_col)))
-    st = d.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_sus").isNull()).alias("bad"),
-               F.min("_sus").alias("lo"), F.max("_sus").alias("hi")).first()
+    st = d.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_sus").isNull()).alias("bad")).first()
     if st["bad"]:
         raise ValueError(f"{st['bad']} rows have an unparseable {time_col}; cannot order them.")
     n_train, n_val, _ = split_sizes(st["n"], test_frac, val_frac)
-    ranked = global_rank(d, F.col("_sus"), id_col, out="_pos",
-                         stats={"lo": st["lo"], "hi": st["hi"], "n": st["n"]})
-    split = (F.when(F.col("_pos") < n_train, F.lit("train"))
-              .when(F.col("_pos") < n_train + n_val, F.lit("val")).otherwise(F.lit("test")))
-    return ranked.withColumn("split", split).drop("_pos", "_sus")
+    first_val, first_test = row_at(d, ["_sus", id_col], [n_train, n_train + n_val])
+    place = F.struct("_sus", id_col)
+
+    def before(cut) -> Column:
+        return F.lit(True) if cut is None else place < F.struct(F.lit(cut["_sus"]).alias("_sus"),
+                                                                F.lit(cut[id_col]).cast(d.schema[id_col].dataType).alias(id_col))
+    split = (F.when(before(first_val), F.lit("train")).when(before(first_test), F.lit("val")).otherwise(F.lit("test")))
+    return d.withColumn("split", split).drop("_sus")
 
 
 def split_summary(split_df: DataFrame, time_col: str = "date") -> DataFrame:
@@ -108,10 +111,15 @@ def fit(train: DataFrame, exclude: list[str] | None = None, freq_threshold: int
     aggs = []
     for c in numeric:
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)      # NaN is no value: a column of NaN and one constant carries nothing
         aggs += [F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
-    for c in text:
-        aggs.append(F.count_distinct(F.col(c).cast("string")).alias(f"nd__{c}"))
     st = train.agg(*aggs).first() if aggs else {}
+    # one pass over the text columns gives distinct counts, frequencies and levels; what is kept is the small table
+    from tallyhawk.session import materialize
+    counts = (materialize(_melt(train, text).groupBy("col", "value").agg(F.count(F.lit(1)).alias("_c"))) if text
+              else spark.createDataFrame([], "col string, value string, _c long"))
+    totals = counts.groupBy("col").agg(F.count(F.lit(1)).alias("_nd"), F.sum("_c").alias("_t"))
+    distinct = {r["col"]: r["_nd"] for r in totals.collect()}      # one row per column
     kinds, nuniq, rows = {}, {}, []
     for f in fields:
         c = f.name
@@ -121,7 +129,7 @@ def fit(train: DataFrame, exclude: list[str] | None = None, freq_threshold: int
                 "boolean" if isinstance(f.dataType, BooleanType) else "numeric")
             nu = None
         else:
-            nu = int(st[f"nd__{c}"])
+            nu = int(distinct.get(c, 0))
             if nu <= 1:
                 kind = "dropped"
             elif nu <= freq_threshold:
@@ -136,22 +144,12 @@ def fit(train: DataFrame, exclude: list[str] | None = None, freq_threshold: int
 
     freq_cols = [c for c, k in kinds.items() if "frequency" in k]
     cat_cols = [c for c, k in kinds.items() if k.startswith("category")]
-    long_schema = "col string, value string, freq float"
-    if freq_cols:
-        lf = _melt(train, freq_cols)
-        counts = lf.groupBy("col", "value").agg(F.count(F.lit(1)).alias("_c"))
-        totals = counts.groupBy("col").agg(F.sum("_c").alias("_t"))
-        freq = counts.join(F.broadcast(totals), "col").select(
-            "col", "value", (F.col("_c") / F.col("_t")).cast("float").alias("freq"))
-    else:
-        freq = spark.createDataFrame([], long_schema)
-    if cat_cols:
-        # at most drop_original_above levels per column
-        lv = _melt(train, cat_cols).distinct()
-        w = Window.partitionBy("col").orderBy("value")
-        levels = lv.select("col", "value", (F.row_number().over(w) - 1).cast("int").alias("idx"))
-    else:
-        levels = spark.createDataFrame([], "col string, value string, idx int")
+    freq = (counts.filter(F.col("col").isin(*freq_cols)).join(F.broadcast(totals), "col")    # a row per column
+            .select("col", "value", (F.col("_c") / F.col("_t")).cast("float").alias("freq")))
+    # at most drop_original_above levels per column
+    w = Window.partitionBy("col").orderBy("value")
+    levels = materialize(counts.filter(F.col("col").isin(*cat_cols))
+                         .select("col", "value", (F.row_number().over(w) - 1).cast("int").alias("idx")))
     return PrepState(plan, freq, levels, kinds, nuniq)
 
 
@@ -176,8 +174,6 @@ def transform(state: PrepState, df: DataFrame, keep: list[str] | None = None) ->
             if present:
                 m = state.freq.filter(F.col("col") == c).select(F.col("value").alias(f"_fv_{c}"),
                                                                  F.col("freq").alias(f"_ff_{c}"))
-                nu = state.n_unique.get(c) or 0
-                m = F.broadcast(m) if nu <= BROADCAST_MAP_VALUES else m
                 out = out.join(m, out[c].cast("string") == F.col(f"_fv_{c}"), "left")
                 feats[name] = F.coalesce(F.col(f"_ff_{c}"), F.lit(-1.0).cast("float"))
             else:
@@ -205,9 +201,9 @@ def prepare_matrix(training: DataFrame, exclude: list[str] | None = None, test_f
     where matrix holds id, split, y, amount (amount_paid if the column
     exists, else send_amount) and the features."""
     from tallyhawk.session import materialize
-    # the training table feeds the split statistics, the fit and the
+    # the training table feeds the cuts of the split, the fit and the
     # transform: computed once, then read from the shared checkpoint folder
-    split = materialize(temporal_split(materialize(training), test_frac, val_frac, time_col, id_col))
+    split = temporal_split(materialize(training), test_frac, val_frac, time_col, id_col)
     state = fit(split.filter(F.col("split") == "train"), exclude=(exclude or []) + [id_col, "split"])
     amt = "amount_paid" if "amount_paid" in training.columns else "send_amount"
     base = split.withColumns({"y": F.col("label").cast("int"), "amount": F.col(amt).try_cast("double")})

@@ -4,47 +4,40 @@ A window with ``orderBy`` but no ``partitionBy`` moves every row into one
 task. Instead rows are put into ordered buckets (a function of the order key
 that never decreases along the order), totals per bucket are prefix-summed on
 a table with one row per bucket, and each row adds its bucket offset to a
-running sum inside its own bucket. Exact, and the per-bucket work spreads
+running sum inside its own bucket. Bucket edges follow the data. Exact, and the per-bucket work spreads
 over the cluster. With grouping keys the bucket table has one row per (key,
 bucket) and a hot key is spread over its buckets.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 200_000
-
-
-def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return int(min(MAX_BUCKETS, max(1, math.ceil(n_rows / rows_per_bucket))))
-
+def range_bucket(df: DataFrame, order: list[Column], out: str, buckets: int | None = None) -> DataFrame:
+    """Add ``out``, a bucket number that never decreases along ``order``.
 
-def uniform_bucket(c: Column, lo: float, hi: float, n: int) -> Column:
-    """Equal-width bucket of ``c`` over [lo, hi] -> 0..n-1; nulls -> n (last)."""
-    if hi is None or lo is None or hi <= lo or n <= 1:
-        b = F.lit(0).cast("bigint")
-    else:
-        b = F.floor((c.cast("double") - F.lit(float(lo))) / F.lit(float(hi - lo)) * F.lit(n)).cast("bigint")
-        b = F.greatest(F.lit(0), F.least(F.lit(n - 1), b))
-    return F.when(c.isNull(), F.lit(n)).otherwise(b).cast("bigint")
+    Spark's range partitioner picks the bucket edges from a sample, so buckets
+    hold about as many rows each wherever the values lie, and equal values are
+    split by the later order columns. The number of buckets is that of the
+    session's shuffle partitions unless given; partitions may be merged at run
+    time when they are small. The numbers are fixed by a checkpoint: computed
+    anew, edges could move.
+    """
+    from tallyhawk.session import materialize
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn(out, F.spark_partition_id().cast("bigint")))
 
 
 def exclusive_prefix(df: DataFrame, order: list[Column], bucket: str,
-                     sums: dict[str, Column], keys: list[str] | None = None,
-                     max_buckets: int | None = None) -> DataFrame:
+                     sums: dict[str, Column], keys: list[str] | None = None) -> DataFrame:
     """Add, for each name in ``sums``, the total of that expression over rows
     that come strictly before this row in ``order`` (within ``keys``).
 
     ``bucket`` names a column that never decreases along ``order``; ``order``
-    must be unique within keys so "before" is well defined. Without keys the
-    bucket table (``max_buckets`` rows) is broadcast; with keys it joins on
-    (keys, bucket), the same keys the final window partitions on, so the
-    exchange is shared.
+    must be unique within keys so "before" is well defined. The bucket table
+    joins on (keys, bucket), the same keys the final window partitions on, so
+    the exchange is shared; its size is left to the runtime to judge.
     """
     keys = list(keys or [])
     vals = {f"_v_{n}": e for n, e in sums.items()}
@@ -58,8 +51,7 @@ def exclusive_prefix(df: DataFrame, order: list[Column], bucket: str,
                         [d[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [d[bucket] == F.col("_kb")], "left") \
                   .drop(*[f"_k_{k}" for k in keys], "_kb")
     else:
-        # one row per bucket, at most max_buckets rows: a bounded broadcast
-        joined = d.join(F.broadcast(offsets), bucket, "left")
+        joined = d.join(offsets, bucket, "left")
     wi = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = joined.withColumns({
         n: F.coalesce(F.sum(f"_v_{n}").over(wi), F.lit(0)) + F.coalesce(F.col(f"_o__v_{n}"), F.lit(0))
@@ -67,18 +59,31 @@ def exclusive_prefix(df: DataFrame, order: list[Column], bucket: str,
     return out.drop(*vals.keys(), *[f"_o_{c}" for c in vals])
 
 
-def global_rank(df: DataFrame, time_us: Column, tiebreak: str, out: str = "_rank",
-                stats: dict | None = None) -> DataFrame:
-    """0-based position of each row in the order (time asc nulls last,
-    tiebreak asc), computed in two levels. ``stats`` (lo, hi, n of the time
-    in microseconds) saves the small aggregate pass when the caller has it."""
-    d = df.withColumn("_tus", time_us)
-    if stats is None:
-        row = d.agg(F.min("_tus").alias("lo"), F.max("_tus").alias("hi"),
-                    F.count(F.lit(1)).alias("n")).first()
-        stats = {"lo": row["lo"], "hi": row["hi"], "n": row["n"]}
-    nb = bucket_count(stats["n"])
-    d = d.withColumn("_bk", uniform_bucket(F.col("_tus"), stats["lo"], stats["hi"], nb))
-    ranked = exclusive_prefix(d, [F.col("_tus").asc_nulls_last(), F.col(tiebreak).asc()], "_bk",
-                              {out: F.lit(1).cast("bigint")}, max_buckets=nb + 1)
-    return ranked.drop("_tus", "_bk")
+def global_rank(df: DataFrame, order: list[Column], out: str = "_rank", buckets: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order`` (unique), in two levels."""
+    d = range_bucket(df, order, "_bk", buckets)
+    return exclusive_prefix(d, order, "_bk", {out: F.lit(1).cast("bigint")}).drop("_bk")
+
+
+def row_at(df: DataFrame, order: list[str], positions: list[int], buckets: int | None = None) -> list:
+    """The rows (columns ``order`` only) at 0-based positions of the ascending
+    order of those columns, null for a position past the end. Only these
+    columns are shuffled; one count per bucket and one row per position come
+    back, and the search inside a bucket sees that bucket alone."""
+    d = range_bucket(df.select(*order), [F.col(c).asc() for c in order], "_bk", buckets)
+    sizes = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("n")).orderBy("_bk").collect()
+    found = []
+    for position in positions:
+        before, hit = 0, None
+        for r in sizes:
+            if before <= position < before + r["n"]:
+                hit = r["_bk"]
+                break
+            before += r["n"]
+        if hit is None:
+            found.append(None)
+            continue
+        nth = F.row_number().over(Window.partitionBy("_bk").orderBy(*order)) - 1
+        inside = d.filter(F.col("_bk") == hit).withColumn("_nth", nth)
+        found.append(inside.filter(F.col("_nth") == position - before).select(*order).first())
+    return found

@@ -8,6 +8,11 @@ next (or previous) bucket is also emitted there as a *halo* copy, so each
 real row still sees its complete frame. Halo rows are dropped after the
 window. The result is exact, one shuffle plus one sort for all frames
 together, and a hot key is spread over as many tasks as it has buckets.
+
+A frame [t + lo, t + hi] is the difference of two frames that only grow
+(everything up to t + hi, less everything before t + lo), because Spark adds a
+row to a growing frame once, while a sliding frame is summed anew for each
+row. Sums are taken in decimal so that the difference is exact.
 """
 
 from __future__ import annotations
@@ -29,14 +34,26 @@ class Frame:
     hi_us: int
 
 
-def _agg(frame: Frame, w) -> Column:
+SUM_TYPE = "decimal(28,8)"
+
+
+def _agg(frame: Frame, base, t: Column) -> Column:
+    """``base`` orders a frame behind the row by time, one ahead by time
+    descending, so that both grow from the far end towards the row."""
+    near, far = (frame.hi_us, frame.lo_us) if frame.hi_us < 0 else (-frame.lo_us, -frame.hi_us)
+    upto = lambda c, edge: c.over(base.rangeBetween(Window.unboundedPreceding, edge))
+    if frame.agg == "exists":
+        closest = upto(F.max(t) if frame.hi_us < 0 else F.min(t), near)
+        return F.coalesce(F.abs(closest - t) <= F.lit(-far), F.lit(False))
     if frame.agg == "count":
-        src = F.col(frame.value) if frame.value else F.lit(1)
-        return F.count(src).over(w)
+        c = F.count(F.col(frame.value) if frame.value else F.lit(1))
+        return upto(c, near) - upto(c, far - 1)
     if frame.agg == "sum":
-        return F.sum(F.col(frame.value).cast("double")).over(w)
-    if frame.agg == "exists":
-        return F.count(F.lit(1)).over(w) > 0
+        v = F.col(frame.value)
+        inside = upto(F.count(v), near) - upto(F.count(v), far - 1)
+        c = F.sum(v.try_cast(SUM_TYPE))
+        total = F.coalesce(upto(c, near), F.lit(0)) - F.coalesce(upto(c, far - 1), F.lit(0))
+        return F.when(inside > 0, total.cast("double"))
     raise ValueError(f"unknown frame aggregate {frame.agg!r}")
 
 
@@ -79,7 +96,7 @@ def with_time_frames(df: DataFrame, key: str, us_col: str, frames: list[Frame],
     placed = (df.withColumn("_valid", valid)
                 .withColumn("_place", F.explode(places))
                 .select("*", "_place._b", "_place._halo").drop("_place"))
-    base = Window.partitionBy(key, "_b", "_valid").orderBy(t)
-    cols = {f.name: F.when(F.col("_valid"), _agg(f, base.rangeBetween(f.lo_us, f.hi_us)))
+    part = Window.partitionBy(key, "_b", "_valid")
+    cols = {f.name: F.when(F.col("_valid"), _agg(f, part.orderBy(t if f.hi_us < 0 else t.desc()), t))
             for f in frames}
     return placed.withColumns(cols).filter(~F.col("_halo")).drop("_b", "_halo", "_valid")

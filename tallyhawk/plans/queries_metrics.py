@@ -273,7 +273,7 @@ FP_SQL = "15.0 + coalesce(transfer_fee, 0) + 0.05 * coalesce(send_amount, 0) * 1
 @query("fp_cost", with_views("transfers_o") + f"select _id, round({FP_SQL}, 6) as fp_cost from transfers_o")
 def fp_cost(spark, sf_dir):
     t = FX.transfer_table(spark, sf_dir)
-    return t.select("_id", F.round(P.FPCostModel().per_transaction(t), 6).alias("fp_cost"))
+    return t.select("_id", F.round(P.FalsePositiveCost().of(t), 6).alias("fp_cost"))
 
 
 @query("fp_cost_by_preset", with_views("transfers_o") + "select _id, " + ", ".join(
@@ -335,6 +335,6 @@ select preset, preset_order, multiplier, round(threshold, 3) as threshold,
 from best where rn = 1""")
 def compare_presets(spark, sf_dir):
     s = _scored(spark, sf_dir)
-    s = s.withColumn("_fpb", P.FPCostModel().per_transaction(s, amount="amount"))
+    s = s.withColumn("_fpb", P.FalsePositiveCost().of(s, amount="amount"))
     r = P.compare_presets(s, "_fpb")
     return _r(_r(r, ["recall", "precision", "false_positive_rate", "flagged_pct"]), ["cost_per_million"], 2)

@@ -119,7 +119,7 @@ def docs(spark, sf_dir, doc_type="transfer"):
     export is rendered from the driver's tables into the shared scratch
     folder once per application and source folder, like a provider dump
     that later jobs read."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), doc_type)
+    key = (spark.sparkContext.applicationId, sf_dir, doc_type)
     path = _EXPORTED.get(key)
     if path is None:
         path = scratch_path(spark, f"{doc_type}-docs")
@@ -301,28 +301,42 @@ EXPORT_FILES = {"omnex_transfers.json": ("1", "2"), "checkout_transfers.json": (
 
 
 def _write_exports(spark, sf_dir):
-    import os
     base = scratch_path(spark, "exports")
     j = D.transfer_documents(spark, sf_dir)
     prov = F.substring(F.get_json_object("json", "$.paymentProvider"), 1, 1)
     for name, prios in EXPORT_FILES.items():
-        j.filter(prov.isin(*prios)).write.mode("overwrite").text(os.path.join(base, name))
+        j.filter(prov.isin(*prios)).write.mode("overwrite").text(f"{base}/{name}")
     return base
 
 
 @query("union_provider_exports", DOC_IDS)
 def union_provider_exports(spark, sf_dir):
     base = _write_exports(spark, sf_dir)
-    return _ids(D.read_documents(spark, D.collection_paths(base, "transfer")))
+    return _ids(D.read_documents(spark, D.collection_paths(spark, base, "transfer")))
+
+
+@query("scan_json_arrays", DOC_IDS)
+def scan_json_arrays(spark, sf_dir):
+    """The documents of some providers as lines, those of the others as JSON
+    arrays in many files."""
+    path = scratch_path(spark, "mixed-exports")
+    j = D.transfer_documents(spark, sf_dir)
+    own = F.coalesce(F.substring(F.get_json_object("json", "$.paymentProvider"), 1, 1), F.lit(""))
+    j.filter(own.isin("1", "2")).write.text(f"{path}/lines")
+    some = F.floor(F.monotonically_increasing_id() / 1000)
+    arrays = j.filter(~own.isin("1", "2")).withColumn("part", some).groupBy("part").agg(F.collect_list("json").alias("all"))
+    arrays.select("part", F.concat(F.lit("[\n"), F.array_join("all", ",\n"), F.lit("\n]")).alias("value")).write.partitionBy(
+        "part").text(f"{path}/arrays")
+    return _ids(D.read_documents(spark, [f"{path}/lines", f"{path}/arrays/*"]))
 
 
 @query("scan_limit_per_source")
 def scan_limit_per_source(spark, sf_dir):
     base = _write_exports(spark, sf_dir)
-    return _ids(D.read_documents(spark, D.collection_paths(base, "transfer"), limit_per_file=100))
+    return _ids(D.read_documents(spark, D.collection_paths(spark, base, "transfer"), limit_per_file=100))
 
 
-SHEET_HEADERS = {"folio": "FOLIO (TRNX ID AT JUPAY)", "partner_txn": "UNIQUE TRNX ID @MTN", "amount": "AMOUNT",
+SHEET_HEADERS = {"folio": "FOLIO (as the sender knows it)", "partner_txn": "UNIQUE TRNX ID @partner", "amount": "AMOUNT",
                  "observations": "Observations // Patterns", "rb_date": "RB_DATE", "agent": "AGENT_CODE"}
 
 

@@ -11,8 +11,11 @@ The fixture builders turn the driver's tables into such documents with
 
 from __future__ import annotations
 
-import os
+import json
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,68 +115,110 @@ def parse_documents(json_df: DataFrame, col: str = "json") -> DataFrame:
 
 
 def read_documents(spark: SparkSession, paths: list[str] | str, limit_per_file: int | None = None) -> DataFrame:
-    """Read NDJSON or JSON-array files into a VARIANT column ``doc``.
+    """Read NDJSON and JSON-array files into a VARIANT column ``doc``.
 
+    Paths are files, folders or patterns on any file system; a path without a
+    file raises. The shape is told per file, so a folder may hold both.
     Whole-line ``//`` and ``/* */`` comments are tolerated and a malformed
-    record fails the job (FAILFAST). JSON arrays are read as multi-line
-    files, whose elements become rows. ``limit_per_file`` caps documents
-    per file (smoke runs), applied to each path before the union.
+    record fails the job. An array is taken apart element by element, so no
+    value larger than one document is made of it. ``limit_per_file`` caps
+    documents per path (smoke runs), applied before the union.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        raise FileNotFoundError("no document files were given")
     frames = []
     for p in paths:
-        multi = _is_array(p)
-        reader = (spark.read.option("singleVariantColumn", "doc").option("allowComments", "true")
-                  .option("mode", "FAILFAST").option("multiLine", "true" if multi else "false"))
-        df = reader.json(p)
-        # a JSON array arrives as one array value: its elements become rows
-        df = df.select(F.explode(F.coalesce(F.try_variant_get("doc", "$", "array<variant>"),
-                                            F.array("doc"))).alias("doc"))
-        if limit_per_file is not None:
-            df = df.limit(int(limit_per_file))
-        frames.append(df)
-    if not frames:
-        return spark.createDataFrame([], "doc variant")
+        files = data_files(spark, p)
+        if not files:
+            raise FileNotFoundError(f"no document files at {p}")
+        shapes: dict[bool, list[str]] = {}
+        for f in files:
+            shapes.setdefault(_opens_array(spark, f), []).append(f)
+        parts = []
+        if lines := shapes.get(False):
+            reader = spark.read.option("singleVariantColumn", "doc").option("allowComments", "true")
+            parts.append(reader.option("mode", "FAILFAST").json(lines))
+        if arrays := shapes.get(True):
+            whole = spark.read.format("binaryFile").load(arrays).select("content")
+            parts.append(parse_documents(whole.mapInArrow(_elements, "json string")))
+        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        frames.append(df if limit_per_file is None else df.limit(int(limit_per_file)))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def _is_array(path: str) -> bool:
-    """Peek past blank and comment lines of the first file (driver-side,
-    a few bytes) to tell a JSON array from NDJSON."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    first = local
-    if os.path.isdir(local):
-        files = sorted(f for f in os.listdir(local) if not f.startswith((".", "_")))
-        if not files:
-            return False
-        first = os.path.join(local, files[0])
-    if not os.path.exists(first):
+_LINE_COMMENT = re.compile(r"^[ \t]*//[^\n]*", re.MULTILINE)
+
+
+def _without_comments(text: str) -> str:
+    text = _LINE_COMMENT.sub("", text)
+    return re.sub(r"^[ \t]*/\*.*?\*/", "", text, flags=re.MULTILINE | re.DOTALL)
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files that hold one JSON array each to the texts of its elements."""
+    decoder, space = json.JSONDecoder(), re.compile(r"\s*")
+    for batch in batches:
+        for content in batch.column(0):
+            text = _without_comments(content.as_py().decode("utf-8-sig"))
+            at = space.match(text).end() + 1     # behind the bracket
+            at, found = space.match(text, at).end(), []
+            while text[at] != "]":
+                _, end = decoder.raw_decode(text, at)
+                found.append(text[at:end])
+                if len(found) >= 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["json"])
+                    found = []
+                at = space.match(text, end).end()
+                if text[at] not in ",]":
+                    raise ValueError(f"array element {text[end:end + 20]!r} is followed by neither comma nor bracket")
+                if text[at] == ",":
+                    at = space.match(text, at + 1).end()
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["json"])
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files at a path or pattern, on any Hadoop file system, sorted."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: list[str] = []
+    for top in fs.globStatus(where) or []:
+        for s in (fs.listStatus(top.getPath()) if top.isDirectory() else [top]):
+            if s.isFile() and s.getLen() and not s.getPath().getName().startswith((".", "_")):
+                found.append(s.getPath().toString())
+    return sorted(found)
+
+
+def _opens_array(spark: SparkSession, file: str) -> bool:
+    """Whether the first thing in a file, comments aside, is a bracket; reads
+    its first lines only."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(file)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(where)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        head = ""
+        while (line := reader.readLine()) is not None:
+            head += line + "\n"
+            rest = _without_comments(head).lstrip("\ufeff \t\r\n")
+            if rest and not rest.startswith("/*"):
+                return rest[0] == "["
         return False
-    with open(first, encoding="utf-8") as fh:
-        in_block = False
-        for line in fh:
-            s = line.strip()
-            if in_block:
-                if "*/" in s:
-                    in_block = False
-                    s = s.split("*/", 1)[1].strip()
-                else:
-                    continue
-            if s.startswith("/*"):
-                if "*/" not in s:
-                    in_block = True
-                    continue
-                s = s.split("*/", 1)[1].strip()
-            if not s or s.startswith("//"):
-                continue
-            return s.startswith("[")
-    return False
-
-
-def collection_paths(data_dir: str, doc_type: str) -> list[str]:
-    """Existing export files for one collection, in the fixed order."""
-    return [os.path.join(data_dir, n) for n in LOCAL_COLLECTIONS.get(doc_type, [])
-            if os.path.exists(os.path.join(data_dir, n))]
+    finally:
+        stream.close()
+
+
+def collection_paths(spark: SparkSession, data_dir: str, doc_type: str) -> list[str]:
+    """Existing export files for one collection, in the fixed order; raises
+    when there is none, so a missing export is never an empty collection."""
+    from tallyhawk.sources.tables import path_exists
+    named = [f"{data_dir.rstrip('/')}/{n}" for n in LOCAL_COLLECTIONS.get(doc_type, [])]
+    found = [p for p in named if path_exists(spark, p)]
+    if not found:
+        raise FileNotFoundError(f"no export of {doc_type!r} in {data_dir}; looked for {named}")
+    return found

@@ -1,6 +1,7 @@
 """Velocity, recipient history and split: leakage guards."""
 
 import datetime as dt
+import time
 
 import numpy as np
 import pytest
@@ -88,14 +89,59 @@ def test_history_two_level_equals_row_number(spark):
         assert got[r["_id"]] == r["p"]
 
 
-def test_global_rank_equals_sorted_position(spark):
-    rng = np.random.default_rng(2)
-    rows = [(i, T0 + dt.timedelta(seconds=int(s))) for i, s in enumerate(rng.integers(0, 10**6, 3000))]
-    df = spark.createDataFrame(rows, "_id long, date timestamp")
-    got = {r["_id"]: r["_rank"] for r in global_rank(df, epoch_us("date"), "_id").collect()}
-    want = sorted(rows, key=lambda r: (r[1], r[0]))
-    assert all(got[r[0]] == i for i, r in enumerate(want))
-
+DATES = {
+    "spread": lambda i: f"2024-01-{1 + i * 7 % 28:02d} {i % 24:02d}:00:00",
+    "one date": lambda i: "2024-01-01 00:00:00",
+    "an outlier": lambda i: "9999-12-31 00:00:00" if i == 0 else f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}",
+}
+
+
+@pytest.mark.parametrize("dates", DATES)
+def test_positions_with_many_buckets(spark, dates):
+    """Balanced buckets: none holds most rows, whatever the dates are."""
+    from tallyhawk.operators.prep import split_sizes, temporal_split
+    from tallyhawk.operators.ranking import range_bucket, row_at
+    rows = [(i * 37 % 3001, DATES[dates](i)) for i in range(3001)]
+    df = spark.createDataFrame(rows, "_id long, date string").withColumn("us", epoch_us(F.col("date").cast("timestamp")))
+    want = [r["_id"] for r in sorted(df.collect(), key=lambda r: (r["us"], r["_id"]))]
+    order = [F.col("us").asc(), F.col("_id").asc()]
+    ranked = global_rank(df, order, buckets=17)
+    assert [r["_id"] for r in sorted(ranked.collect(), key=lambda r: r["_rank"])] == want
+    assert sorted(r["_rank"] for r in ranked.collect()) == list(range(3001))
+    sizes = [r["count"] for r in range_bucket(df, order, "b", 17).groupBy("b").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 3001 / 4
+    at = row_at(df, ["us", "_id"], [0, 1000, 3000, 3001], 17)
+    assert [r and r["_id"] for r in at] == [want[0], want[1000], want[3000], None]
+    split = {r["_id"]: r["split"] for r in temporal_split(df).collect()}
+    n_train, n_val, n_test = split_sizes(3001)
+    assert [split[i] for i in want] == ["train"] * n_train + ["val"] * n_val + ["test"] * n_test
+
+
+def test_one_user_with_many_rows(spark):
+    """All in one bucket: a sliding frame would need minutes."""
+    from tallyhawk.operators.features import add_velocity_features
+    n = 200_000
+    df = spark.range(n).select(F.lit("u").alias("user_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("_t"),
+                               (F.col("id") % 100 / 4).alias("send_amount"), "id")
+    t0 = time.time()
+    out = add_velocity_features(df, bucket_us=400 * 24 * 3_600_000_000)
+    got = out.agg(F.max("user_id_txn_1h"), F.max("user_id_txn_168h"), F.sum("user_id_amt_1h")).first()
+    assert time.time() - t0 < 60
+    ids = range(n)
+    amounts, total, ahead = [i % 100 / 4 for i in ids], 0.0, 0.0
+    for i in ids:
+        total += ahead
+        ahead += amounts[i] - (amounts[i - 3600] if i >= 3600 else 0)
+    assert got[0] == 3600 and got[1] == n - 1 and abs(got[2] - total) < 1e-3 * total / n + 1
+
+
+def test_conflicting_ids_are_chosen_by_rule(spark):
+    from tallyhawk.operators.features import conflicting_ids, one_per_id
+    df = spark.createDataFrame([("u1", "US", 1), ("u1", "GB", 9), ("u2", "FR", 2), ("u2", "FR", 2)],
+                               "_id string, country string, n int")
+    assert conflicting_ids(df).first()[0] == 1
+    for d in (df, df.repartition(3), df.orderBy("n")):
+        assert sorted(tuple(r) for r in one_per_id(d).collect()) == [("u1", "US", 1), ("u2", "FR", 2)]
 
 def test_split_is_chronological(spark):
     rows = [(i, "u", T0 + dt.timedelta(hours=i), 1.0) for i in range(100)]
