@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: labelled documents per class that a fit may use, and the length above which a document is not used
-SAMPLE_PER_CLASS = 2000
-SAMPLE_CHARS = 20_000
+SAMPLE_PER_CLASS = 1000
+SAMPLE_CHARS = 10_000
 
 
 def held_out(id_col: str, parts: int, part: int) -> Column:

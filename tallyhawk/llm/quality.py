@@ -78,11 +78,10 @@ def word_vectors(texts: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
     ids = np.fromiter((find[w] for t in texts for w in t), np.int64)
     text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     for gap in range(1, WINDOW + 1):
-        a, b = ids[:-gap], ids[gap:]
-        same = text[:-gap] == text[gap:]
-        for x, y in ((a[same], b[same]), (b[same], a[same])):
-            if len(x):
-                order = np.argsort(x, kind="stable")
+        same = np.nonzero(text[:-gap] == text[gap:])[0]
+        for x, y in ((ids[same], ids[same + gap]), (ids[same + gap], ids[same])):
+            for at in range(0, len(x), 1 << 16):  # bounded memory
+                order = np.argsort(x[at:at + (1 << 16)], kind="stable") + at
                 word, first = np.unique(x[order], return_index=True)
                 total[word] += np.add.reduceat(index[y[order]], first, axis=0)
     total[0] = 0
