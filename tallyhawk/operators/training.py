@@ -51,7 +51,9 @@ def fit_frame(split_df: DataFrame, spw: float, train_sample: float | None = None
     for early stopping."""
     train = split_df.filter(F.col("split") == "train")
     if train_sample is not None:
-        train = train.sample(False, train_sample, seed=SEED)
+        # by a hash of the row, so the sample does not depend on how rows are partitioned
+        part = F.pmod(F.xxhash64(*[F.col(c) for c in split_df.columns], F.lit(SEED)), F.lit(10_000))
+        train = train.filter(part < int(train_sample * 10_000))
     val = split_df.filter(F.col("split") == "val")
     return with_weights(train.unionByName(val), spw).withColumn("is_val", F.col("split") == "val")
 
@@ -66,10 +68,11 @@ def val_ap(model, split_df: DataFrame) -> float:
     return float(r["PR_AUC"]) if r["PR_AUC"] is not None else float("nan")
 
 
-def tune_grid(split_df: DataFrame, features: list[str], spw: float, sample: float = 0.35) -> list[dict]:
+def tune_grid(split_df: DataFrame, features: list[str], spw: float, sample: float = 0.35,
+              iters: int = 60) -> list[dict]:
     """Grid search: each candidate fits on a seeded sample of train and is
     scored by average precision on the full validation slice."""
-    base = gbt(features)
+    base = gbt(features, iters=iters)
     clf = base.getStages()[1]
     grid = ParamGridBuilder().addGrid(clf.maxDepth, [3, 5]).addGrid(clf.stepSize, [0.05, 0.2]).build()
     fit_df = fit_frame(split_df, spw, train_sample=sample)
@@ -85,8 +88,10 @@ def calibrate(model, split_df: DataFrame):
     """Isotonic regression of the label on the raw score, fit on validation;
     predictions outside the fitted range are clipped to its ends."""
     val = raw_scores(model, split_df.filter(F.col("split") == "val"), ["y"])
-    iso = IsotonicRegression(featuresCol="score", labelCol="y", predictionCol="calibrated", isotonic=True)
-    return iso.fit(val.withColumn("y", F.col("y").cast("double")))
+    # one weighted row per distinct score: what is pooled is bounded by the scores that the model can give
+    val = val.groupBy("score").agg(F.avg(F.col("y").cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
+    iso = IsotonicRegression(featuresCol="score", labelCol="y", weightCol="w", predictionCol="calibrated", isotonic=True)
+    return iso.fit(val)
 
 
 def calibrated(model, calibrator, df: DataFrame, keep: list[str]) -> DataFrame:
@@ -103,25 +108,32 @@ class TrainResult:
     candidates: dict
     threshold: float
     report: DataFrame
+    reliability: DataFrame
+    cost_grid: DataFrame
 
 
 def train_report(split_df: DataFrame, features: list[str], spw: float, keep: list[str],
-                 fp_unit_cost: float = 25.0, tune: bool = True) -> TrainResult:
+                 fp_unit_cost: float | str = 25.0, tune: bool = True, iters: int = 60) -> TrainResult:
+    """Fit the candidates on train, choose by average precision on val,
+    calibrate and set the threshold there, then evaluate once on test.
+    ``fp_unit_cost``: a figure or the name of a column with a cost per row.
+    ``split_df`` is read by every fit: pass a checkpointed frame."""
     best = {"max_depth": 4, "step_size": 0.1}
     if tune:
-        grid = tune_grid(split_df, features, spw)
+        grid = tune_grid(split_df, features, spw, iters=iters)
         best = max(grid, key=lambda r: r["val_pr_auc"])
     fit_df = fit_frame(split_df, spw)
-    cands = {"gbt": gbt(features, best["max_depth"], best["step_size"]).fit(fit_df),
+    cands = {"gbt": gbt(features, best["max_depth"], best["step_size"], iters).fit(fit_df),
              "forest": forest(features).fit(fit_df.filter(~F.col("is_val")))}
     aps = {n: val_ap(m, split_df) for n, m in cands.items()}
     winner = max(aps, key=aps.get)
     model = cands[winner]
     cal = calibrate(model, split_df)
-    val = calibrated(model, cal, split_df.filter(F.col("split") == "val"), keep + ["y", "amount"])
+    extra = ["y", "amount"] + ([fp_unit_cost] if isinstance(fp_unit_cost, str) else [])
+    val = calibrated(model, cal, split_df.filter(F.col("split") == "val"), keep + extra)
     t = M.best_threshold(M.threshold_curve(val, fp_unit_cost=fp_unit_cost)).first()["threshold"]
-    test = calibrated(model, cal, split_df.filter(F.col("split") == "test"), keep + ["y", "amount"])
+    test = calibrated(model, cal, split_df.filter(F.col("split") == "test"), keep + extra)
     ev = M.evaluate(test, t, fp_unit_cost=fp_unit_cost)
     report = ev.select(F.lit(winner).alias("winner"), F.lit(aps[winner]).alias("val_pr_auc"),
-                       F.lit(float(fp_unit_cost)).alias("fp_unit_cost"), "*")
-    return TrainResult(winner, model, cal, aps, t, report)
+                       F.lit(str(fp_unit_cost)).alias("fp_unit_cost"), "*")
+    return TrainResult(winner, model, cal, aps, t, report, M.reliability_table(test), M.cost_grid(test))

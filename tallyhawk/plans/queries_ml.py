@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from tallyhawk import contract as K
 from tallyhawk.functions.columns import hour_of
+from tallyhawk.operators import policy as PO
 from tallyhawk.operators import prep as PR
 from tallyhawk.operators import scoring as SC
 from tallyhawk.operators import training as TR
 from tallyhawk.operators.features import add_velocity_features
 from tallyhawk.plans.catalog import query
 from tallyhawk.plans.oracle_views import with_views
+from tallyhawk.plans.queries_features import training_table
 from tallyhawk.plans.queries_sources import TOP_KEYS_SQL, docs
-from tallyhawk.session import scratch_path
+from tallyhawk.session import materialize, scratch_path
 from tallyhawk.sources import fixtures as FX
 
+MISSING = -999.0
+ID_COLUMNS = ["_id", "user_id", "recipient_id", "_t", "partner_reference", "partner_txn_id"]
 FEATURES = ["amount", "hour", "segment_code", "user_id_txn_24h", "user_id_amt_24h"]
 
 
@@ -28,7 +32,21 @@ def ml_frame(spark, sf_dir):
 
 
 def ml_split(spark, sf_dir):
-    return PR.temporal_split(ml_frame(spark, sf_dir), time_col="ts", id_col="id")
+    """The split frame, fixed once: every fit and every evaluation reads it."""
+    return materialize(PR.temporal_split(ml_frame(spark, sf_dir), time_col="ts", id_col="id"))
+
+
+# boosting rounds of the registered queries; the library's default is 60
+ROUNDS = 12
+
+
+def training_matrix(spark, sf_dir):
+    """(matrix, features): the assembled training table split, encoded by its
+    train part and fixed once; a missing value is its own level."""
+    state, m = PR.prepare_matrix(training_table(spark, sf_dir, keep_ids=True), exclude=ID_COLUMNS, time_col="_t")
+    features = state.feature_cols
+    filled = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(MISSING)), F.lit(MISSING)) for c in features}
+    return materialize(m.withColumns(filled)), features
 
 
 def _spw(split_df):
@@ -76,11 +94,20 @@ def calibrate_isotonic(spark, sf_dir):
 
 @query("train_report")
 def train_report(spark, sf_dir):
-    s = ml_split(spark, sf_dir)
-    r = TR.train_report(s, FEATURES, _spw(s), keep=["id"], tune=True)
+    """The whole run on the training table, with the cost of a wrongful block
+    measured from history; model, calibrator, reliability and cost grid of the
+    test part are written beside each other, the report is returned."""
+    m, features = training_matrix(spark, sf_dir)
+    history = FX.scored(spark, sf_dir)
+    churn = PO.churn_estimate(history, (F.col("y") == 0) & (F.col("score") >= 0.5))
+    cost = PO.FalsePositiveCost.measured(churn)
+    m = m.withColumn("fp_cost", cost.of(m, amount="amount"))
+    r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost", iters=ROUNDS)
     path = scratch_path(spark, "model")
     r.model.write().overwrite().save(f"{path}/model")
     r.calibrator.write().overwrite().save(f"{path}/calibrator")
+    r.reliability.write.parquet(f"{path}/reliability")
+    r.cost_grid.write.parquet(f"{path}/cost_grid")
     return r.report
 
 
@@ -92,8 +119,10 @@ def _fitted(spark, sf_dir):
 
 @query("score_table")
 def score_table(spark, sf_dir):
-    s, m, cal = _fitted(spark, sf_dir)
-    return SC.score_table(m, cal, s, FEATURES, keep=["id"])
+    """Every transfer of the training table, scored by the model of its train part."""
+    s, features = training_matrix(spark, sf_dir)
+    m = TR.gbt(features, iters=ROUNDS).fit(TR.fit_frame(s, _spw(s)))
+    return SC.score_table(m, TR.calibrate(m, s), s, features, keep=["_id", "split"])
 
 
 @query("stream_score")
