@@ -22,9 +22,10 @@ size is that of the vocabulary); tasks need no file.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,12 @@ from tallyhawk.llm.common import cut, fresh
 
 #: white space of the file's patterns (fixed value)
 SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: words kept per task with their tokens, and ids per output batch
-CACHED_WORDS = 200_000
-BATCH_IDS = 2_000_000
+#: words and arcs kept per task, and bytes or ids per output batch
+CACHED_WORDS, CACHED_ARCS = 150_000, 200_000
+BATCH_SIZE = 1_000_000
+#: the split into words of the file (fixed value), and its faster equal for ASCII in lower case
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_SPLIT = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t\n\v\f\r a-z0-9]+")
 
 
 def byte_symbols() -> list[str]:
@@ -65,15 +69,13 @@ class Automaton:
             self.symbols[t] = (t,)
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self.step: dict[tuple[int, int], int] = {}  # (place in the tree of tokens, symbol) to place
-        self.token_at = [-1]
+        self.tree: dict = {}  # of the symbols of all tokens that can occur; None holds the token that ends there
         for t, symbols in self.symbols.items():
-            place = 0
-            for s in symbols:
-                place = self.step.setdefault((place, s), len(self.token_at))
-                if place == len(self.token_at):
-                    self.token_at.append(-1)
-            self.token_at[place] = t
+            if self.live[t]:
+                place = self.tree
+                for s in symbols:
+                    place = place.setdefault(s, {})
+                place[None] = t
         marks = byte_symbols()
         self.inner = [base.get(marks[b], -1) for b in range(256)]
         self.final = [base.get(marks[b] + suffix, -1) for b in range(256)]
@@ -107,28 +109,36 @@ class Automaton:
             else:
                 token = self.left[token]
 
-    def encode(self, word: bytes, arcs: dict[tuple[int, int], bool]) -> tuple[int, ...]:
+    def encode(self, word: bytes, arcs: dict[int, bool]) -> list[int]:
         """Tokens of one word; ``arcs`` is the table of arcs looked up so far."""
-        symbols = [self.inner[b] for b in word[:-1]] + [self.final[word[-1]]]
-        symbols = [s for s in symbols if s >= 0]  # bytes that the vocabulary lacks are left out
-        n = len(symbols)
+        symbols = [self.inner[b] for b in word]
+        symbols[-1] = self.final[word[-1]]
+        if -1 in symbols:  # bytes that the vocabulary lacks are left out
+            symbols = [s for s in symbols if s >= 0]
+        n, tree, leads, size = len(symbols), self.tree, self.leads, len(self.leads)
         came, token = [0] * (n + 1), [-1] * (n + 1)
+        state = 0
         for i in range(n):
-            state = self.leads[token[i]] if i else 0
-            place, j = 0, i
-            while j < n and (place := self.step.get((place, symbols[j]), -1)) > 0:
+            if i:
+                state = leads[token[i]]
+            place, j = tree, i
+            while j < n:
+                place = place.get(symbols[j])
+                if place is None:
+                    break
                 j += 1
-                if (t := self.token_at[place]) >= 0:
-                    ok = arcs.get((state, t))
+                if token[j] < 0 and None in place:
+                    t = place[None]
+                    ok = arcs.get(state * size + t)
                     if ok is None:
-                        ok = arcs[state, t] = self.has_arc(state, t)
+                        ok = arcs[state * size + t] = self.has_arc(state, t)
                     if ok:
                         came[j], token[j] = i, t
         out = []
         while n:
             out.append(token[n])
             n = came[n]
-        return tuple(reversed(out))
+        return out[::-1]
 
 
 class Tokenizer:
@@ -142,9 +152,11 @@ class Tokenizer:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = {i: t for t, i in (model["vocab"] | self.special).items()}
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pattern = split.replace(r"\s", SPACE)
+        names = model["vocab"] | self.special
+        self.labels = np.full(max(names.values()) + 1, None, object)
+        for name, i in names.items():
+            self.labels[i] = name
+        self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
 
     def worker(self) -> Worker:
         return Worker(self)
@@ -157,38 +169,50 @@ class Worker:
         import regex
 
         class Words(dict):
+            """Words met lately; when full, they become the words met before
+            and only those that come again are taken over."""
+            before: dict = {}
+
             def __missing__(words, word):
                 if len(words) >= CACHED_WORDS:
+                    words.before = dict(words)
                     words.clear()
-                if len(self.arcs) >= 4 * CACHED_WORDS:
+                if len(self.arcs) >= CACHED_ARCS:
                     self.arcs.clear()
-                ids = words[word] = tokenizer.automaton.encode(word.encode(), self.arcs)
+                ids = words.before.get(word)
+                if ids is None:
+                    ids = array("i", tokenizer.automaton.encode(word.encode(), self.arcs)).tobytes()
+                words[word] = ids
                 return ids
 
         self.tokenizer, self.arcs, self.words = tokenizer, {}, Words()
-        self.split = regex.compile(tokenizer.pattern).findall
+        self.split = self.split_ascii = regex.compile(tokenizer.pattern.replace(r"\s", SPACE)).findall
+        if tokenizer.pattern == KNOWN_SPLIT:
+            self.split_ascii = ASCII_SPLIT.findall
         names = sorted(tokenizer.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         special = self.tokenizer.special
         if self.special is None or not any(s in text for s in special):
-            return list(self._plain(text))
-        out = []
-        for part in self.special(text):
-            out.extend([special[part]] if part in special else self._plain(part))
-        return out
+            return np.frombuffer(self._plain(text), np.int32)
+        parts = [np.int32(special[part]).tobytes() if part in special else self._plain(part) for part in self.special(text)]
+        return np.frombuffer(b"".join(parts), np.int32)
 
-    def _plain(self, text: str) -> Iterator[int]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case letter by letter
-        return chain.from_iterable(map(self.words.__getitem__, self.split(text.lower())))
+    def _plain(self, text: str) -> bytes:
+        if text.isascii():
+            return b"".join(map(self.words.__getitem__, self.split_ascii(text.lower())))
+        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # lower case letter by letter
+        return b"".join(map(self.words.__getitem__, self.split(text.lower())))
 
-    def decode(self, ids) -> str:
-        """Labels of the arcs joined by a space, as the file names no decoder;
-        ids that it does not know are left out."""
-        get = self.tokenizer.labels.get
-        return " ".join([t for t in map(get, ids) if t is not None])
+
+def joined(labels: np.ndarray, ids: np.ndarray) -> str:
+    """Labels of the arcs joined by a space, as the file names no decoder; ids
+    that it does not know are left out."""
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(labels)):
+        ids = ids[(ids >= 0) & (ids < len(labels))]
+    found = labels[ids].tolist()
+    return " ".join(found if None not in found else [t for t in found if t is not None])
 
 
 def _append(name: str, kind: pa.DataType, make):
@@ -200,7 +224,7 @@ def _append(name: str, kind: pa.DataType, make):
             col = batch.column(batch.num_columns - 1)
             size = pa.compute.list_value_length if pa.types.is_list(col.type) else pa.compute.binary_length
             sizes = np.asarray(size(col).fill_null(0))
-            for part in cut(batch, sizes, BATCH_IDS):
+            for part in cut(batch, sizes, BATCH_SIZE):
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], convert(part.column(part.num_columns - 1), kind)],
                     [*part.schema.names[:-1], name])
@@ -222,7 +246,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
         worker = shared.value.worker()
 
         def convert(col, kind):
-            found = [np.array(worker.encode(t or ""), np.int32) for t in col.to_pylist()]
+            found = [worker.encode(t or "") for t in col.to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
             return pa.ListArray.from_arrays(offsets, np.concatenate([*found, np.empty(0, np.int32)]))
         return convert
@@ -236,11 +260,18 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """``rows`` with ``out_col``, the labels of ``ids_col`` joined by spaces,
     as last column. Null ids give an empty text; unknown ids are left out."""
-    shared = rows.sparkSession.sparkContext.broadcast(Tokenizer(path))
+    shared = rows.sparkSession.sparkContext.broadcast(Tokenizer(path).labels)
 
     def make():
-        worker = shared.value.worker()
-        return lambda col, kind: pa.array([worker.decode(x or ()) for x in col.to_pylist()], kind)
+        labels = shared.value
+
+        def convert(col, kind):
+            ids = col.values.to_numpy(zero_copy_only=False)  # of all rows; a null list has no extent
+            if col.values.null_count:
+                ids = col.values.fill_null(-1).to_numpy()
+            ends = col.offsets.to_numpy()
+            return pa.array([joined(labels, ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], kind)
+        return convert
 
     kept = [c for c in rows.columns if c != out_col]
     plan = rows.select(*kept, F.col(ids_col).cast("array<int>").alias(fresh(rows, "coded")[0]))
