@@ -167,15 +167,20 @@ def contract_columns(doc_type: str, salt: str, doc: str = "doc") -> dict[str, Co
     return cols
 
 
-def canonical_sources(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """Which alias resolved each canonical field (or UNRESOLVED), per doc."""
+def _canonical_source(doc: str) -> dict[str, Column]:
+    """Canonical field -> the alias that resolves it in a document."""
     out = {}
     for canon, aliases in K.CANONICAL.items():
         expr = F.lit("UNRESOLVED")
         for a in reversed(aliases):
             expr = F.when(read_field(doc, a, "string").isNotNull(), F.lit(a)).otherwise(expr)
-        out[f"{canon}_source"] = expr
-    return docs.select(*[c.alias(n) for n, c in out.items()])
+        out[canon] = expr
+    return out
+
+
+def canonical_sources(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Which alias resolved each canonical field (or UNRESOLVED), per doc."""
+    return docs.select(*[c.alias(f"{n}_source") for n, c in _canonical_source(doc).items()])
 
 
 def extraction_audit(docs: DataFrame, doc_type: str, doc: str = "doc") -> DataFrame:
@@ -184,15 +189,10 @@ def extraction_audit(docs: DataFrame, doc_type: str, doc: str = "doc") -> DataFr
     tiers = sorted({t for _f, a, t, _s in K.CONTRACTS[doc_type]})
     miss = {t: sum((read_field(doc, f).isNull().cast("long") for f, a, tt, _s in K.CONTRACTS[doc_type] if tt == t),
                    F.lit(0)) for t in tiers}
-    base = docs.select(*[m.alias(f"missing_tier{t}") for t, m in miss.items()])
-    metrics = [F.struct(F.lit("docs").alias("metric"), F.count(F.lit(1)).alias("n"))]
-    metrics += [F.struct(F.lit(f"missing_tier{t}").alias("metric"), F.sum(f"missing_tier{t}").alias("n"))
-                for t in tiers]
-    out = base.agg(F.array(*metrics).alias("_m")).select(F.explode("_m").alias("_m")).select("_m.*")
+    per = [("docs", F.lit(1).cast("long"))] + [(f"missing_tier{t}", m) for t, m in miss.items()]
+    rows = [F.struct(F.lit(name).alias("metric"), n.alias("n")) for name, n in per]
     if doc_type == "transfer":
-        src = canonical_sources(docs, doc)
-        parts = [src.groupBy(F.concat(F.lit(f"{canon}<-"), F.col(f"{canon}_source")).alias("metric"))
-                    .agg(F.count(F.lit(1)).alias("n")) for canon in K.CANONICAL]
-        for p in parts:
-            out = out.unionByName(p)
-    return out
+        rows += [F.struct(F.concat(F.lit(f"{canon}<-"), source).alias("metric"), F.lit(1).cast("long").alias("n"))
+                 for canon, source in _canonical_source(doc).items()]
+    # one scan: a document gives a handful of rows, summed before they are shuffled
+    return (docs.select(F.explode(F.array(*rows)).alias("_m")).groupBy("_m.metric").agg(F.sum("_m.n").alias("n")))

@@ -46,37 +46,30 @@ def profile_discriminator_variance(docs: DataFrame, doc_type: str = "transfer",
     """(discriminator, field, present_in): variable fields present on > 90%
     of one discriminator value's documents and < 10% of another's. A missing
     discriminator is the group 'None'."""
-    parts = []
-    total = docs.agg(F.count(F.lit(1)).alias("_n"))
-    for disc in discriminators or K.DISCRIMINATORS:
-        g = F.coalesce(read_field(doc, disc, "string"), F.lit("None"))
-        grouped = docs.select(g.alias("grp"), F.col(doc))
-        sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("_gn"))
-        present = (_keys(grouped, doc, {"grp": F.col("grp")}).groupBy("grp", "field")
-                   .agg(F.count(F.lit(1)).alias("_c")))
-        # presence of the discriminator itself and how many groups exist
-        disc_seen = present.filter(F.col("field") == disc.split(".")[0]).agg(F.sum("_c").alias("_seen"))
-        n_groups = sizes.agg(F.count(F.lit(1)).alias("_groups"))
-        overall = present.groupBy("field").agg(F.sum("_c").alias("_fc"))
-        variable = (overall.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-                           .filter(F.col("_fc") < F.col("_n")).select("field"))
-        rates = (present.join(sizes, "grp").join(variable, "field", "left_semi")
-                        .withColumn("rate", F.col("_c") / F.col("_gn")))
-        per = rates.groupBy("field").agg(
-            F.max("rate").alias("_max"), F.min("rate").alias("_min"), F.count(F.lit(1)).alias("_ng"),
-            F.array_sort(F.collect_list(F.when(F.col("rate") > 0.9, F.col("grp")))).alias("_in"))
-        per = (per.withColumn("_one", F.lit(1))
-                  .join(F.broadcast(n_groups.withColumn("_one", F.lit(1))), "_one")
-                  .join(F.broadcast(disc_seen.withColumn("_one", F.lit(1))), "_one"))
-        eff_min = F.when(F.col("_ng") < F.col("_groups"), F.lit(0.0)).otherwise(F.col("_min"))
-        flagged = per.filter((F.col("_groups") >= 2) & (F.coalesce(F.col("_seen"), F.lit(0)) > 0)
-                             & (F.col("_max") > 0.9) & (eff_min < 0.1))
-        parts.append(flagged.select(F.lit(disc).alias("discriminator"), "field",
-                                    F.concat_ws(",", "_in").alias("present_in")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from tallyhawk.session import materialize
+    names = list(discriminators or K.DISCRIMINATORS)
+    groups = F.array(*[F.struct(F.lit(d).alias("discriminator"),
+                                F.coalesce(read_field(doc, d, "string"), F.lit("None")).alias("grp")) for d in names])
+    keys = F.coalesce(F.map_keys(F.try_variant_get(F.col(doc), "$", "map<string,variant>")), F.array().cast("array<string>"))
+    # one scan: per document and discriminator its fields, and a null field that counts the document itself
+    counts = (docs.select(groups.alias("gs"), F.concat(keys, F.array(F.lit(None).cast("string"))).alias("fs"))
+              .select("fs", F.explode("gs").alias("g")).select("g.*", F.explode("fs").alias("field"))
+              .groupBy("discriminator", "grp", "field").agg(F.count(F.lit(1)).alias("c")))
+    counts = materialize(counts)        # a row per group and field: all that follows reads this
+    sizes = counts.filter(F.col("field").isNull()).select("discriminator", "grp", F.col("c").alias("size"))
+    present = counts.filter(F.col("field").isNotNull())
+    whole = sizes.groupBy("discriminator").agg(F.sum("size").alias("docs"), F.count(F.lit(1)).alias("groups"))
+    seen = (present.filter(F.col("field") == F.substring_index("discriminator", ".", 1))
+            .select("discriminator").distinct())
+    rates = present.join(sizes, ["discriminator", "grp"]).withColumn("rate", F.col("c") / F.col("size"))
+    often = F.when(F.col("rate") > 0.9, F.col("grp"))
+    per = rates.groupBy("discriminator", "field").agg(
+        F.sum("c").alias("n"), F.max("rate").alias("most"), F.min("rate").alias("least"), F.count(F.lit(1)).alias("in_groups"),
+        F.array_sort(F.collect_list(often)).alias("often"))      # at most a value per group of the discriminator
+    least = F.when(F.col("in_groups") < F.col("groups"), F.lit(0.0)).otherwise(F.col("least"))
+    return (per.join(whole, "discriminator").join(seen, "discriminator", "left_semi")
+            .filter((F.col("groups") >= 2) & (F.col("n") < F.col("docs")) & (F.col("most") > 0.9) & (least < 0.1))
+            .select("discriminator", "field", F.concat_ws(",", "often").alias("present_in")))
 
 
 def profile_unknown_fields(docs: DataFrame, doc_type: str, doc: str = "doc", top_n: int = 25) -> DataFrame:

@@ -166,7 +166,8 @@ def feature_coverage(spark, sf_dir):
     return cov.withColumn("coverage", F.round("coverage", 6))
 
 
-@query("prep_state_roundtrip")
+@query("prep_state_roundtrip", PREP + """
+select _id, split, c_name_FE, n_name, n_name_FE, provider, send_amount from fmx""")
 def prep_state_roundtrip(spark, sf_dir):
     """Persist the fitted state, reload it and transform with the copy."""
     from tallyhawk.session import scratch_path

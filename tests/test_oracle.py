@@ -8,14 +8,15 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from tallyhawk.plans.catalog import ORACLE, QUERIES, load_all
 from tests.conftest import SF_MID, SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {"tune_grid", "train_report", "select_model"}
+SLOW = {"tune_grid", "select_model"}
 # the feature set itself follows the data (cardinality policy); their
 # oracles are written for the sf0.01 check scale
-AT_MID = {"feature_matrix", "prepare_matrix", "feature_coverage"}
+AT_MID = {"feature_matrix", "prepare_matrix", "feature_coverage", "prep_state_roundtrip"}
 
 
 def _norm(v):
@@ -51,8 +52,7 @@ def _con(sf):
     return c
 
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+load_all()      # the optional training-data queries have tests of their own
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
