@@ -132,10 +132,10 @@ def orphan_flags(spark, sf_dir):
     return LB.orphan_flags(latest, FX.exported_transfers(spark, sf_dir))
 
 
-@query("chargeback_hits", LBL + f"""
-select _id from {CUT} c where _id in (select _id from cbm where _id is not null)""")
+@query("chargeback_hits", LBL + """
+select _id from transfers_o where _id in (select _id from cbm where _id is not null)""")
 def chargeback_hits(spark, sf_dir):
-    return LB.chargeback_hits(FX.exported_transfers(spark, sf_dir), _matched(spark, sf_dir))
+    return LB.chargeback_hits(FX.transfers_o(spark, sf_dir), _matched(spark, sf_dir))
 
 
 @query("unmatched_chargebacks", LBL + f"""

@@ -284,9 +284,10 @@ def fp_cost_by_preset(spark, sf_dir):
     return _r(t.select("_id", *cols), cols)
 
 
-@query("churn_estimate", SC + """
+def churn_sql(days: int) -> str:
+    return SC + f"""
 , h as (select *, count(*) over (partition by user_id order by epoch_us(cast(ts as timestamp))
-                                 range between 1 following and 86400000000 following) as later
+                                 range between 1 following and {days} * 86400000000 following) as later
         from scored)
 , a as (select count(*) as rows_n,
                count(*) filter (where y = 0 and segment = '3') as n_wrongful_blocks,
@@ -300,14 +301,26 @@ select n_wrongful_blocks, round(fp_quiet_rate, 6) as fp_quiet_rate, round(base_q
        round(case when n_wrongful_blocks >= 30 then greatest(rows_n / (span_days / 30.44) / users, 1.0) else 1.0 end, 6) as monthly_volume_multiple,
        12.0 as clv_months, 15.0 as ops_cost,
        case when n_wrongful_blocks >= 30 then 'measured' else 'defaults' end as source
-from a""")
-def churn_estimate(spark, sf_dir):
-    s = _scored(spark, sf_dir)
+from a"""
+
+
+def _churn(spark, sf_dir, days):
     wrongful = (F.col("y") == 0) & (F.col("segment") == "3")
-    r = P.churn_estimate(s, wrongful, key="user_id", ts="ts", horizon_days=1)
+    r = P.churn_estimate(_scored(spark, sf_dir), wrongful, key="user_id", ts="ts", horizon_days=days)
     return _r(r, ["fp_quiet_rate", "base_quiet_rate", "churn_prob", "monthly_volume_multiple"])
 
 
+@query("churn_estimate", churn_sql(1))
+def churn_estimate(spark, sf_dir):
+    return _churn(spark, sf_dir, 1)
+
+
+@query("churn_estimate_90d", churn_sql(K.CHURN_HORIZON_DAYS))
+def churn_estimate_90d(spark, sf_dir):
+    """The default horizon."""
+    return _churn(spark, sf_dir, K.CHURN_HORIZON_DAYS)
+
+
 _preset_rows = ", ".join(f"('{n}', cast({m} as double), {i})" for i, (n, m) in enumerate(K.PRESETS))
 
 
