@@ -82,3 +82,26 @@ def test_ranking_with_many_buckets(spark, buckets):
     assert got["AUROC"] == pytest.approx(want)
     q = {r["q"]: r["value"] for r in M.exact_quantiles(df, "score", [0.0, 0.13, 0.5, 1.0], buckets=buckets).collect()}
     assert q == pytest.approx({x: float(np.quantile([s for _, s in rows], x)) for x in q})
+
+
+def test_gates_can_fail(spark):
+    from tallyhawk.operators import gate as G
+    good = spark.createDataFrame([(1.0, 2), (None, 3)], "send_amount double, hour int")
+    assert [r["passed"] for r in G.gate_pii_columns(good).collect() + G.gate_forbidden_columns(good).collect()] == [True, True]
+    bad = good.withColumn("sender_email", F.lit("x")).withColumn("_raw_dob", F.col("send_amount"))
+    row = G.gate_pii_columns(bad).first()
+    assert not row["passed"] and "sender_email" in row["detail"] and "2 rows" in row["detail"]
+    row = G.gate_forbidden_columns(bad).first()
+    assert not row["passed"] and "_raw_dob" in row["detail"] and "1 rows" in row["detail"]
+
+
+def test_presets(spark):
+    from tallyhawk import contract as K
+    from tallyhawk.operators import policy as P
+    name, factor = K.PRESETS[0]
+    assert P.preset(f"  {name.upper().replace('_', '-')} ") == (name, factor) and P.preset()[0] == K.DEFAULT_PRESET
+    with pytest.raises(ValueError):
+        P.preset("nothing like it")
+    churn = spark.createDataFrame([(0.2, 3.0, "measured")], "churn_prob double, monthly_volume_multiple double, source string")
+    cost = P.FalsePositiveCost.measured(churn)
+    assert (cost.leaving, cost.monthly_multiple, cost.origin) == (0.2, 3.0, "measured")
