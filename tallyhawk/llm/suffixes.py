@@ -41,7 +41,7 @@ PIECE_BYTES, ARRAY_BYTES = 24 << 20, 1 << 20
 #: strings of one anchor that share a suffix array; larger buckets are dealt out
 BUCKET = 8192
 #: documents in the sample for frequent anchors, and share of them that makes an anchor frequent
-SAMPLE_DOCS, FREQUENT = 2000, 0.01
+SAMPLE_DOCS, FREQUENT = 2000, 0.2
 COVERED, STRING, DEALT = 0, 1, 2
 
 _ROW = "kind tinyint, h long, u long, ord long, start long, n long"
@@ -180,14 +180,17 @@ def maximal_repeats(strings: list[bytes], windows: np.ndarray, length: int) -> I
                 stack.append((now, bound))
 
 
-_GROUPS = pa.schema([("length", pa.int32()), ("occurrences", pa.list_(
-    pa.struct([("ord", pa.int64()), ("start", pa.int64())])))])
+_SPOT = pa.struct([("ord", pa.int64()), ("start", pa.int64())])
+_GROUPS = pa.schema([("length", pa.int64()), ("occurrences", pa.list_(_SPOT)), ("ord", pa.int64()), ("start", pa.int64()),
+                     ("size", pa.int64())])
 
 
 def _arrays(length: int):
-    """Rows (h, ord, start, n, s) sorted by h to maximal repeat groups. Whole
-    buckets are put under one suffix array until it has ARRAY_BYTES."""
-    def groups(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (h, ord, start, n, s) sorted by h to maximal repeat groups (length,
+    occurrences) and to the spans (ord, start, size) that they cover, joined
+    where they touch. Whole buckets are put under one suffix array until it
+    has ARRAY_BYTES."""
+    def groups(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         sizes, flat, counts = [], [], []
         if len(rows) > 1:
             ord_, start = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
@@ -197,11 +200,20 @@ def _arrays(length: int):
                 sizes.append(size)
                 counts.append(len(by))
                 flat.append(np.stack([o[by], s[by]]))
-        both = np.concatenate([*flat, np.empty((2, 0), np.int64)], axis=1)
+        if not sizes:
+            return
+        both, ends = np.concatenate(flat, axis=1), np.cumsum(counts)
         spots = pa.StructArray.from_arrays([pa.array(both[0]), pa.array(both[1])], ["ord", "start"])
-        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, spots)],
-                                          schema=pa.schema([_GROUPS.field(0), pa.field("occurrences", pa.list_(spots.type))]))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), spots)
+        none = pa.nulls(len(sizes), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), lists, none, none, none], _GROUPS.names)
+        later = np.ones(both.shape[1], bool)
+        later[ends - counts] = False  # the earliest of each group stays
+        reach = np.repeat(sizes, counts)
+        o, s, e = merged(both[0][later], both[1][later], both[1][later] + reach[later])
+        none = pa.nulls(len(o), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(o), lists.type), pa.array(o), pa.array(s), pa.array(e - s)],
+                                         _GROUPS.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple] = []  # whole buckets
@@ -215,10 +227,10 @@ def _arrays(length: int):
                         held += sum(len(r[4]) for r in bucket)
                     bucket = []
                     if held >= ARRAY_BYTES:
-                        yield groups(ready)
+                        yield from groups(ready)
                         ready, held = [], 0
                 bucket.append(row)
-        yield groups(ready + bucket)
+        yield from groups(ready + bucket)
     return run
 
 
@@ -293,18 +305,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tupl
         _strings(length), "h long, ord long, start long, n long, big boolean, s binary"), "strings")
     groups = (strings.where(~F.col("big")).select("h", "ord", "start", "n", "s").repartition("h")
               .sortWithinPartitions("h", "ord", "start").mapInArrow(
-                  _arrays(length), "length int, occurrences array<struct<ord:long,start:long>>"))
+                  _arrays(length), "length long, occurrences array<struct<ord:long,start:long>>, ord long, start long, size long"))
     groups = saved(groups, "repeat-groups")
-    again = groups.select("length", F.explode(F.slice("occurrences", F.lit(2), F.size("occurrences"))).alias("o"))
+    again = groups.where(F.col("ord").isNotNull()).select("ord", "start", "size")
     windows = strings.where("big").select("ord", "start", "n", "s").mapInArrow(
         _beginnings(length), "a long, b long, ord long, start long")
     earliest = windows.groupBy("a", "b").agg(F.min(F.struct("ord", "start")).alias("one"), F.count("*").alias("m"))
     dealt = (windows.join(earliest.where("m > 1"), ["a", "b"])
              .where(F.struct("ord", "start") != F.col("one")).select("ord", "start", F.lit(length).cast("long").alias("size")))
     spans = (rows.where(F.col("kind") == COVERED).select("ord", "start", F.col("n").alias("size"))
-             .unionByName(again.select("o.ord", "o.start", F.col("length").cast("long").alias("size")))
+             .unionByName(again)
              .unionByName(dealt))
-    return spans, groups
+    return spans, groups.where(F.col("occurrences").isNotNull()).select("length", "occurrences")
 
 
 def _cut_out(whole_characters: bool):
