@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,15 +26,15 @@ from pyspark.sql import functions as F
 from tallyhawk.llm.labelled import append_scores, held_out, sample
 
 TOKEN = re.compile(r"\w+")
-#: lengths of the prefixes and of the suffix that are features, and hashed weights
-PREFIXES, SUFFIX, BUCKETS = (3, 4, 5), 3, 1 << 17
+#: lengths of the prefixes and of the suffix that are features
+PREFIXES, SUFFIX = (3, 4, 5), 3
 #: how unevenly a feature must occur for its tokens to be labelled toxic: ratio of the rates, and features of its
 #: frequency that may pass by chance
 LEAST_RATIO, BY_CHANCE = 8.0, 0.5
 #: toxic sample documents from which on the document score is fitted on a part of its own
 OWN_PART = 60
 ROUNDS, RATE, DECAY = 40, 0.25, 1e-5
-PER_CLASS = 800
+PER_CLASS = 1200
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
 CACHED_WORDS = 200_000
 CHAIN_TOKENS = 400_000
@@ -101,27 +102,22 @@ def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def keys(word: str) -> list[str]:
     """Features of a token, as text."""
     low = word.lower()
-    out = [f"w{low}", *[f"p{low[:n]}" for n in PREFIXES if len(low) >= n], f"s{low[-SUFFIX:]}"]
-    out.append("U" if word.isupper() else "T" if word[0].isupper() else "d" if word.isdigit() else "l")
-    return out
-
-
-def buckets(word: str) -> list[int]:
-    from xxhash import xxh64_intdigest
-    return [xxh64_intdigest(k.encode("utf-8", "replace"), 5) % BUCKETS for k in keys(word)]
+    return ["w" + low, *["p" + low[:n] for n in PREFIXES if len(low) >= n], "s" + low[-SUFFIX:],
+            "U" if word.isupper() else "T" if word[0].isupper() else "d" if word.isdigit() else "l"]
 
 
 class Emissions(dict):
     """Log odds of a token from its features, in a table of bounded size."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
+    def __init__(self, weights: dict[str, float], bias: float):
         super().__init__()
         self.weights, self.bias = weights, bias
 
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        e = self[word] = float(self.weights[buckets(word)].sum() + self.bias)
+        weight = self.weights.get
+        e = self[word] = self.bias + sum([weight(k, 0.0) for k in keys(word)])
         return e
 
 
@@ -182,29 +178,32 @@ class Model:
         first[(np.cumsum(lens) - lens)[lens > 0]] = True
         marked = np.array([any(k in marks for k in keys(w)) for w in words], bool)
         truth = (marked[ids] & (np.repeat(y, lens) > 0)).astype(float) if len(ids) else np.empty(0)
-        feats = [buckets(w) for w in words]
+        index: dict[str, int] = {}
+        feats = [[index.setdefault(k, len(index)) for k in keys(w)] for w in words]
+        size = len(index)
         flat = np.array([b for f in feats for b in f], np.int64)
         owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
         rate = float(np.clip(truth.mean() if len(truth) else 0, 1e-6, 0.5))
-        self.weights, self.bias = np.zeros(BUCKETS), float(np.log(rate / (1 - rate)))
+        weights, self.bias = np.zeros(size), float(np.log(rate / (1 - rate)))
         trans = np.zeros((2, 2))
         self.start, self.move = np.array([0.5, 0.5]), np.ones((2, 2))
         seen = np.zeros((2, 2))
         inner = np.nonzero(~first)[0]
         np.add.at(seen, (truth[inner - 1].astype(int), truth[inner].astype(int)), 1)
-        speed, tspeed = np.full(BUCKETS, 1e-3), np.full((2, 2), 1e-3)
+        speed, tspeed = np.full(size, 1e-3), np.full((2, 2), 1e-3)
         for _ in range(ROUNDS if len(ids) else 0):
-            e = (np.bincount(owner, self.weights[flat], len(feats)) + self.bias)[ids]
+            e = (np.bincount(owner, weights[flat], len(feats)) + self.bias)[ids]
             p, pairs = marginals(e, first, self.start, np.exp(trans), pairs=True)
             by_word = np.bincount(ids, truth - p, len(feats))
-            g = np.bincount(flat, by_word[owner], BUCKETS) - DECAY * len(ids) * self.weights
+            g = np.bincount(flat, by_word[owner], size) - DECAY * len(ids) * weights
             speed += g * g
-            self.weights += RATE * 4 * g / np.sqrt(speed)
+            weights += RATE * 4 * g / np.sqrt(speed)
             g = seen - pairs
             tspeed += g * g
             trans += RATE * g / np.sqrt(tspeed)
         trans -= trans.max()
         self.move = np.exp(trans)
+        self.weights = {k: float(weights[i]) for k, i in index.items() if abs(weights[i]) > 1e-4}
 
     def summary(self, texts: list[list[str]], emissions: Emissions | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
         """Per text: largest marginal, expected toxic tokens (log), their
@@ -218,7 +217,7 @@ class Model:
                 n += len(texts[to])
                 to += 1
             lens = np.array([len(t) for t in texts[at:to]])
-            e = np.fromiter((emissions[w] for t in texts[at:to] for w in t), float, n)
+            e = np.fromiter(map(emissions.__getitem__, chain.from_iterable(texts[at:to])), float, n)
             first = np.zeros(n, bool)
             begin = np.cumsum(lens) - lens
             first[begin[lens > 0]] = True
