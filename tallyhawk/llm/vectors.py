@@ -30,7 +30,7 @@ SAMPLE_ROWS, SAMPLE_NUMBERS = 20_000, 4_000_000
 CELL_ROWS, MOST_CELLS = 512, 4096
 BLOCK_ROWS = 512
 #: degrees beyond the nearest centroid within which a vector visits other cells
-MARGIN = 10.0
+MARGIN = 5.0
 
 
 def prepared(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
