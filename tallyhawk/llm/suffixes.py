@@ -37,7 +37,7 @@ from tallyhawk.llm.common import cut, fresh, saved
 
 LENGTH = 100
 #: bytes of text a task takes apart at once, and bytes of strings under one suffix array
-PIECE_BYTES, ARRAY_BYTES = 24 << 20, 1 << 20
+PIECE_BYTES, ARRAY_BYTES = 16 << 20, 1 << 20
 #: strings of one anchor that share a suffix array; larger buckets are dealt out
 BUCKET = 8192
 #: documents in the sample for frequent anchors, and share of them that makes an anchor frequent
@@ -149,15 +149,15 @@ def maximal_repeats(strings: list[bytes], windows: np.ndarray, length: int) -> I
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     place, left_over = begin[owner] + offset, lens[owner] - offset
     rows = np.lib.stride_tricks.sliding_window_view(text, width)[place]
-    rows[np.arange(width)[None, :] >= left_over[:, None]] = 0
+    for at in range(0, len(rows), 1 << 14):  # bounded memory
+        rows[at:at + (1 << 14)][np.arange(width)[None, :] >= left_over[at:at + (1 << 14), None]] = 0
     order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
     # common prefixes of neighbours in the array
     common = np.zeros(len(order) + 1, np.int64)
-    for at in range(0, len(order) - 1, 1 << 15):
-        a, b = rows[order[at:at + (1 << 15) + 1]][:-1], rows[order[at + 1:at + (1 << 15) + 1]]
-        a = a[:len(b)]
-        differ = a != b
-        common[at + 1:at + 1 + len(b)] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    for at in range(0, len(order) - 1, 1 << 14):
+        both = rows[order[at:at + (1 << 14) + 1]]
+        differ = both[:-1] != both[1:]
+        common[at + 1:at + 1 + len(differ)] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     common[1:-1] = np.minimum(common[1:-1], np.minimum(left_over[order[1:]], left_over[order[:-1]]))
     # the byte to the left; nothing is known left of a string, which counts as different
     left = np.where(offset > 0, text[place - 1].astype(np.int64), -1)[order]
