@@ -49,7 +49,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | Non
     if path is None:
         import public_tokenizers
         path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, path), path).withColumn("n_tokens", F.size("ids"))
+    return bpe.encode(docs, path, decoded_col="text").withColumn("n_tokens", F.size("ids"))
 
 
 STAGES = [

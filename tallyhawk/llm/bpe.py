@@ -37,7 +37,7 @@ from tallyhawk.llm.common import cut, fresh
 #: white space of the file's patterns (fixed value)
 SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: words and arcs kept per task, and bytes or ids per output batch
-CACHED_WORDS, CACHED_ARCS = 150_000, 200_000
+CACHED_WORDS, CACHED_ARCS = 100_000, 100_000
 BATCH_SIZE = 1_000_000
 #: the split into words of the file (fixed value), and its faster equal for ASCII in lower case
 KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -76,6 +76,7 @@ class Automaton:
                 for s in symbols:
                     place = place.setdefault(s, {})
                 place[None] = t
+        del self.vocab, self.symbols  # tasks need neither
         marks = byte_symbols()
         self.inner = [base.get(marks[b], -1) for b in range(256)]
         self.final = [base.get(marks[b] + suffix, -1) for b in range(256)]
@@ -215,46 +216,51 @@ def joined(labels: np.ndarray, ids: np.ndarray) -> str:
     return " ".join(found if None not in found else [t for t in found if t is not None])
 
 
-def _append(name: str, kind: pa.DataType, make):
-    """A mapInArrow function that adds one column made from the last one, a
-    few rows at a time."""
+def _replace(names: list[str], make):
+    """A mapInArrow function that puts columns ``names`` in the place of the
+    last column, a few rows at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
         convert = make()
         for batch in batches:
             col = batch.column(batch.num_columns - 1)
-            size = pa.compute.list_value_length if pa.types.is_list(col.type) else pa.compute.binary_length
+            size = pc.list_value_length if pa.types.is_list(col.type) else pc.binary_length
             sizes = np.asarray(size(col).fill_null(0))
             for part in cut(batch, sizes, BATCH_SIZE):
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], convert(part.column(part.num_columns - 1), kind)],
-                    [*part.schema.names[:-1], name])
-    import pyarrow.compute  # noqa: F401
+                    [*part.columns[:-1], *convert(part.column(part.num_columns - 1))],
+                    [*part.schema.names[:-1], *names])
     return run
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with ``text_col`` replaced by ``out_col`` (array<int>, last).
+def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids",
+           decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with ``text_col`` replaced by ``out_col`` (array<int>) and,
+    where named, ``decoded_col``: what these ids decode to, in the same pass.
 
     Null and empty texts and texts of white space have no ids; a text of any
     length is one row, encoded in one go (time and memory grow with its
     length). Other columns, repeated rows and the order in a partition stay.
-    A column of the old frame named ``out_col`` is replaced.
+    Columns of the old frame with the new names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Tokenizer(path))
+    new = [out_col, *([decoded_col] if decoded_col else [])]
 
     def make():
         worker = shared.value.worker()
+        labels = shared.value.labels
 
-        def convert(col, kind):
+        def convert(col):
             found = [worker.encode(t or "") for t in col.to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-            return pa.ListArray.from_arrays(offsets, np.concatenate([*found, np.empty(0, np.int32)]))
+            ids = pa.ListArray.from_arrays(offsets, np.concatenate([*found, np.empty(0, np.int32)]))
+            return [ids, pa.array([joined(labels, x) for x in found], pa.string())][:len(new)]
         return convert
 
-    kept = [c for c in docs.columns if c not in (text_col, out_col)]
+    kept = [c for c in docs.columns if c not in (text_col, *new)]
     rows = docs.select(*kept, F.col(text_col).cast("string"))
-    schema = rows.select(*kept, F.lit(None).cast("array<int>").alias(out_col)).schema
-    return rows.mapInArrow(_append(out_col, pa.list_(pa.int32()), make), schema)
+    kinds = [F.lit(None).cast(k).alias(n) for n, k in zip(new, ("array<int>", "string"), strict=False)]
+    return rows.mapInArrow(_replace(new, make), rows.select(*kept, *kinds).schema)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
@@ -265,15 +271,15 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "tex
     def make():
         labels = shared.value
 
-        def convert(col, kind):
+        def convert(col):
             ids = col.values.to_numpy(zero_copy_only=False)  # of all rows; a null list has no extent
             if col.values.null_count:
                 ids = col.values.fill_null(-1).to_numpy()
             ends = col.offsets.to_numpy()
-            return pa.array([joined(labels, ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], kind)
+            return [pa.array([joined(labels, ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())]
         return convert
 
     kept = [c for c in rows.columns if c != out_col]
     plan = rows.select(*kept, F.col(ids_col).cast("array<int>").alias(fresh(rows, "coded")[0]))
     schema = rows.select(*kept, F.lit(None).cast("string").alias(out_col)).schema
-    return plan.mapInArrow(_append(out_col, pa.string(), make), schema)
+    return plan.mapInArrow(_replace([out_col], make), schema)

@@ -159,9 +159,9 @@ def digests(rows: DataFrame) -> DataFrame:
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from tallyhawk.llm.bpe import decode, encode
+    from tallyhawk.llm.bpe import encode
     path = public_tokenizers.path("word_bpe_49k.json")
-    return digests(decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path))
+    return digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded_col="text"))
 
 
 @query("op7_quality")

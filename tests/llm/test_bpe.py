@@ -21,7 +21,7 @@ def ours():
 
 def test_as_the_library(ours):
     rng = random.Random(3)
-    tokens = sorted(ours.automaton.vocab)
+    tokens = sorted(t for t in ours.labels if t is not None)
     texts = ODD + ["".join(rng.choice(tokens).replace("</w>", rng.choice(["", " "])) for _ in range(rng.randrange(1, 9)))
                    for _ in range(1500)]
     library, worker = Library.from_file(PATH), ours.worker()
@@ -73,6 +73,8 @@ def test_frames(spark, ours):
     worker = ours.worker()
     assert sorted((r["doc_id"], r["ids"], r["text"]) for r in back) == [
         (i, worker.encode(t or "").tolist(), joined(ours.labels, worker.encode(t or ""))) for i, t in enumerate([*ODD, None, None])]
+    both = encode(docs, PATH, decoded_col="text")
+    assert sorted((r["doc_id"], r["ids"], r["text"]) for r in both.collect()) == sorted((r["doc_id"], r["ids"], r["text"]) for r in back)
     empty = spark.createDataFrame([], schema)
     assert decode(encode(empty, PATH), PATH).count() == 0
     nulls = spark.createDataFrame([(None, 1), ([5, -3], 2)], "ids array<int>, doc_id int")
