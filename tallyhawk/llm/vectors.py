@@ -1,12 +1,16 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
-Unit vectors are assigned to the nearest of k centroids (fitted on a bounded
-sample, every row assigned) and visit each further cell whose centroid is at
-most ``margin`` degrees farther than the nearest. Inside a cell, vectors of one
-label are compared in blocks of rows: a task multiplies two blocks, counts the
-links of each row and keeps one edge per row to the smallest member of its
-component inside the product, so pairs are never listed. Equal vectors are one
-node with a weight. A cell that grows past one block is dealt over many tasks.
+Unit vectors live in the cell of the nearest of k centroids (fitted on a bounded
+sample, every row assigned). Two vectors of one cell are compared there, two of
+different cells in the cell of the lower number, which the other vector visits.
+It visits each lower cell that can hold a vector within the angle asked for, so
+no pair is lost and none is compared twice; at worst all pairs are compared.
+
+Inside a cell, vectors of one label are compared in blocks of rows: a task
+multiplies a block of residents with another block, counts the links of each row
+and keeps one edge per row to the smallest member of its component inside the
+product, so pairs are never listed. Equal vectors are one node with a weight. A
+cell that grows past one block is dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ from tallyhawk.llm.components import connected_components
 THRESHOLD = 0.93
 #: rows of the fitting sample at most, and numbers it may hold
 SAMPLE_ROWS, SAMPLE_NUMBERS = 20_000, 4_000_000
-#: rows wanted per cell, cells at most (the centroids are sent to every task)
-CELL_ROWS, MOST_CELLS = 512, 4096
-BLOCK_ROWS = 512
-#: degrees beyond the nearest centroid within which a vector visits other cells
-MARGIN = 5.0
+#: rows wanted per cell and label, cells at most (the centroids are sent to every task)
+CELL_ROWS, MOST_CELLS = 1024, 4096
+BLOCK_ROWS = 1024
+#: rows whose products with all centroids are held at once
+ASSIGN_ROWS = 1024
+#: far above the rounding of a product of unit vectors
+SLACK = 1e-6
 
 
 def prepared(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -74,8 +80,10 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) ->
 
 
 def _fit(nodes: DataFrame, seed: int) -> dict[int, np.ndarray]:
-    """Centroids per dimension, from a sample of fixed size."""
-    sizes = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n"))
+    """Centroids per dimension, from a sample of fixed size; as many as the
+    largest label of that dimension needs, as labels never meet."""
+    sizes = {r["dim"]: r["n"] for r in nodes.groupBy("dim", "label").agg(F.count("*").alias("n"))
+             .groupBy("dim").agg(F.max("n").alias("n"))
              .orderBy(F.desc("n"), "dim").limit(64).collect()}  # rarer dimensions get one cell each
     cells = {}
     for dim, n in sizes.items():
@@ -87,45 +95,52 @@ def _fit(nodes: DataFrame, seed: int) -> dict[int, np.ndarray]:
     return cells
 
 
-def _assign(centroids, margin: float):
+def lower_cells(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
+    """The cell of each unit row, and the cells of lower number it visits.
+
+    Let b live in cell h, a in cell i, t be the angle between them and w the unit
+    vector along c[h] - c[i]. Then a.w <= 0, so a is 90 degrees or more from w
+    and b at least 90 - t, that is b.w <= sin(t). Cells for which b.w is greater
+    than that at the widest angle asked for hold no partner of b.
+    """
+    most = math.sin(math.acos(min(threshold, 1.0))) if threshold > 0 else 1.0
+    near = x @ c.T
+    home = near.argmax(axis=1)
+    gap = near[np.arange(len(x)), home][:, None] - near
+    apart = np.sqrt(np.maximum(((c * c).sum(axis=1)[home][:, None] + (c * c).sum(axis=1)) - 2 * (c[home] @ c.T), 0))
+    visit = (gap <= most * apart + SLACK) & (np.arange(len(c)) < home[:, None])
+    row, cell = np.nonzero(visit)
+    return home, [v.tolist() for v in np.split(cell, np.cumsum(visit.sum(axis=1))[:-1])]
+
+
+def _assign(centroids, threshold: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for dim, part in pdf.groupby("dim"):
-                part = part.reset_index(drop=True)
                 c = centroids.value.get(int(dim))
                 if c is None:
-                    yield part.assign(cell=0, home=0, visits=[[0]] * len(part))
+                    yield part.assign(home=0, lower=[[] for _ in range(len(part))])
                     continue
-                angle = np.degrees(np.arccos(np.clip(unit(list(part["raw"])) @ c.T, -1, 1)))
-                home = angle.argmin(axis=1)
-                near = angle <= angle.min(axis=1, keepdims=True) + margin
-                row, cell = np.nonzero(near)
-                visits = np.split(cell, np.cumsum(near.sum(axis=1))[:-1])
-                out = part.iloc[row].reset_index(drop=True)
-                yield out.assign(cell=cell, home=home[row], visits=[visits[i].tolist() for i in row])
+                for at in range(0, len(part), ASSIGN_ROWS):
+                    some = part.iloc[at:at + ASSIGN_ROWS]
+                    home, lower = lower_cells(unit(list(some["raw"])), c, threshold)
+                    yield some.assign(home=home, lower=lower)
     return run
 
 
 def _tile(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
-        cell = int(pdf["cell"].iloc[0])
         pdf = pdf.sort_values("cid").reset_index(drop=True)
         pick = pdf["block"].to_numpy()
         left, right = np.nonzero(pick == i)[0], np.nonzero(pick == j)[0]
-        x, home = unit(list(pdf["raw"])), pdf["home"].to_numpy()
-        visits = [set(v) for v in pdf["visits"]]
+        x = unit(list(pdf["raw"]))
         weight = pdf["weight"].to_numpy()
         count, root = np.zeros(len(pdf), np.int64), np.arange(len(pdf))
         a, b = np.nonzero(x[left] @ x[right].T >= threshold)
         a, b = left[a], right[b]
         if i == j:
             a, b = a[a < b], b[a < b]
-        # a pair that meets in several cells counts in one: that of both homes, else the lowest that both visit
-        ok = (home[a] == home[b]) & (home[a] == cell)
-        for n in np.nonzero(home[a] != home[b])[0]:
-            ok[n] = cell == min(visits[a[n]] & visits[b[n]])
-        a, b = a[ok], b[ok]
         np.add.at(count, a, weight[b])
         np.add.at(count, b, weight[a])
         while len(a):  # smallest member of each component in this product
@@ -142,7 +157,7 @@ def _tile(threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN, seed: int = 5,
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5,
                     id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: id, n_links, component (smallest id
     reachable), kept (id is the component's; of rows that repeat that id all).
@@ -160,17 +175,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
         F.min("uid").alias("cid"), F.count("*").alias("weight"), F.min("id").alias("rep"),
         F.first("dim").alias("dim"), F.first("raw").alias("raw")), "vector-nodes")
     centroids = spark.sparkContext.broadcast(_fit(nodes, seed))
-    placed = nodes.select("cid", "label", "weight", "dim", "raw").mapInPandas(
-        _assign(centroids, margin),
-        "cid long, label string, weight long, dim int, raw binary, cell int, home int, visits array<int>")
-    placed = saved(placed, "vector-cells")
+    placed = saved(nodes.select("cid", "label", "weight", "dim", "raw").mapInPandas(
+        _assign(centroids, threshold),
+        "cid long, label string, weight long, dim int, raw binary, home int, lower array<int>"), "vector-cells")
     key = ["label", "dim", "cell"]
-    sizes = placed.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS)).drop("rows")
-    blocked = placed.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    tiles = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = placed.withColumn("cell", F.explode(F.concat(F.array("home"), "lower"))).withColumn("lives", F.col("cell") == F.col("home"))
+    sizes = cells.groupBy(*key).agg(F.count_if("lives").alias("own"), F.count_if(~F.col("lives")).alias("guests"))
+    sizes = sizes.where("own > 0 and own + guests > 1").select(
+        *key, F.ceil(F.col("own") / BLOCK_ROWS).alias("own"), F.ceil(F.col("guests") / BLOCK_ROWS).alias("guests"))
+    # blocks of residents are numbered first; guests meet residents only
+    blocked = cells.join(sizes, key).withColumn("block", F.when(F.col("lives"), F.pmod(F.xxhash64("cid"), F.col("own"))).otherwise(
+        F.col("own") + F.pmod(F.xxhash64("cid"), F.col("guests"))))
+    others = F.when(F.col("lives"), F.col("own") + F.col("guests")).otherwise(F.col("own"))
+    tiles = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
-    found = saved(tiles.drop("blocks", "other").groupBy(*key, "bi", "bj").applyInPandas(
+    found = saved(tiles.select("cid", "weight", "raw", *key, "block", "bi", "bj").groupBy(*key, "bi", "bj").applyInPandas(
         _tile(threshold), "cid long, n long, root long"), "vector-links")
     joined = connected_components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
     counts = found.groupBy("cid").agg(F.sum("n").alias("n"))

@@ -58,6 +58,27 @@ def test_links(spark, monkeypatch, cell_rows, block_rows):
         assert found >= 0.98 * there and all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
 
 
+@pytest.mark.parametrize("rank, groups, cell_rows, block_rows", [(4, 1, 20, 512), (4, 1, 20, 7), (3, 12, 30, 512), (2, 4, 20, 9)])
+def test_no_link_is_lost(spark, monkeypatch, rank, groups, cell_rows, block_rows):
+    """Dense groups spread in few directions and cut into many cells, where
+    linked vectors often live in different cells."""
+    monkeypatch.setattr(vectors, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(11)
+    basis = np.linalg.qr(rng.normal(size=(24, rank)))[0]
+    rows = []
+    for _ in range(groups):
+        centre = rng.normal(size=24)
+        centre /= np.linalg.norm(centre)
+        for _ in range(480 // groups):
+            v = centre + basis @ rng.normal(size=rank) * 0.5 / rank ** 0.5
+            rows.append((len(rows) + 1, v.astype(np.float32).tolist(), 1))
+    got = sorted(tuple(r) for r in vectors.near_duplicates(
+        spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)).collect())
+    want = plain_links(rows)
+    assert sum(r[1] for r in want) > 1000 and got == want
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     a = [1.0, 2.0, 3.0]
