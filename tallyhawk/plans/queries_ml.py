@@ -36,10 +36,6 @@ def ml_split(spark, sf_dir):
     return materialize(PR.temporal_split(ml_frame(spark, sf_dir), time_col="ts", id_col="id"))
 
 
-# boosting rounds of the registered queries; the library's default is 60
-ROUNDS = 12
-
-
 def training_matrix(spark, sf_dir):
     """(matrix, features): the assembled training table split, encoded by its
     train part and fixed once; a missing value is its own level."""
@@ -102,7 +98,7 @@ def train_report(spark, sf_dir):
     churn = PO.churn_estimate(history, (F.col("y") == 0) & (F.col("score") >= 0.5))
     cost = PO.FalsePositiveCost.measured(churn)
     m = m.withColumn("fp_cost", cost.of(m, amount="amount"))
-    r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost", iters=ROUNDS)
+    r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost")
     path = scratch_path(spark, "model")
     r.model.write().overwrite().save(f"{path}/model")
     r.calibrator.write().overwrite().save(f"{path}/calibrator")
@@ -121,7 +117,7 @@ def _fitted(spark, sf_dir):
 def score_table(spark, sf_dir):
     """Every transfer of the training table, scored by the model of its train part."""
     s, features = training_matrix(spark, sf_dir)
-    m = TR.gbt(features, iters=ROUNDS).fit(TR.fit_frame(s, _spw(s)))
+    m = TR.gbt(features).fit(TR.fit_frame(s, _spw(s)))
     return SC.score_table(m, TR.calibrate(m, s), s, features, keep=["_id", "split"])
 
 
