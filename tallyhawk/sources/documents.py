@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -119,10 +120,12 @@ def read_documents(spark: SparkSession, paths: list[str] | str, limit_per_file:
 
     Paths are files, folders or patterns on any file system; a path without a
     file raises. The shape is told per file, so a folder may hold both.
-    Whole-line ``//`` and ``/* */`` comments are tolerated and a malformed
-    record fails the job. An array is taken apart element by element, so no
-    value larger than one document is made of it. ``limit_per_file`` caps
-    documents per path (smoke runs), applied before the union.
+    ``//`` and ``/* */`` comments are tolerated and a malformed record fails
+    the job. Array files are read in pieces that end behind a brace, brought
+    back in order and cut into elements as they stream by: a task holds one
+    document and a few pieces, however large the file is and wherever its line
+    breaks are. ``limit_per_file`` caps documents per path (smoke runs),
+    applied before the union.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -133,15 +136,15 @@ def read_documents(spark: SparkSession, paths: list[str] | str, limit_per_file:
         if not files:
             raise FileNotFoundError(f"no document files at {p}")
         shapes: dict[bool, list[str]] = {}
-        for f in files:
-            shapes.setdefault(_opens_array(spark, f), []).append(f)
+        with ThreadPoolExecutor(min(32, len(files))) as pool:
+            for f, array in zip(files, pool.map(lambda f: _opens_array(spark, f), files), strict=True):
+                shapes.setdefault(array, []).append(f)
         parts = []
         if lines := shapes.get(False):
             reader = spark.read.option("singleVariantColumn", "doc").option("allowComments", "true")
             parts.append(reader.option("mode", "FAILFAST").json(lines))
         if arrays := shapes.get(True):
-            whole = spark.read.format("binaryFile").load(arrays).select("content")
-            parts.append(parse_documents(whole.mapInArrow(_elements, "json string")))
+            parts.append(parse_documents(_pieces(spark, arrays).mapInArrow(_elements, "json string")))
         df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         frames.append(df if limit_per_file is None else df.limit(int(limit_per_file)))
     out = frames[0]
@@ -150,34 +153,130 @@ def read_documents(spark: SparkSession, paths: list[str] | str, limit_per_file:
     return out
 
 
-_LINE_COMMENT = re.compile(r"^[ \t]*//[^\n]*", re.MULTILINE)
-
-
-def _without_comments(text: str) -> str:
-    text = _LINE_COMMENT.sub("", text)
-    return re.sub(r"^[ \t]*/\*.*?\*/", "", text, flags=re.MULTILINE | re.DOTALL)
+def _pieces(spark: SparkSession, files: list[str]) -> DataFrame:
+    """file, piece: the bytes between two closing braces. All pieces of a file
+    are in one partition, in their order; Spark splits and sorts the files, so
+    no task holds one."""
+    read = spark.read.option("lineSep", "}").text(files)
+    rows = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("nth"), F.col("value").cast("binary").alias("piece"))
+    return (rows.repartition("file").sortWithinPartitions("file", "start", "nth").select("file", "piece"))
+
+
+#: what can be passed over, whole strings included: inside an element, and between elements
+_INSIDE = re.compile(r'(?:[^"{}\[\]/]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+', re.DOTALL)
+_BETWEEN = re.compile(r'(?:[^"{}\[\]/,]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+', re.DOTALL)
+_STRING_REST = re.compile(r'[^"\\]*+(?:\\.[^"\\]*+)*+', re.DOTALL)
+_SPACE = " \t\r\n"
+
+
+class _ArrayCutter:
+    """Texts of the elements of one JSON array that arrives in pieces; each
+    piece ends where the file has a closing brace, and after its last one."""
+
+    def __init__(self) -> None:
+        self.depth, self.inside, self.parts, self.found, self.first = 0, "", [], [], True
+        self.closed = self.ended = False
+
+    def _element(self, last: bool) -> None:
+        text = "".join(self.parts).strip(_SPACE)
+        self.parts = []
+        if text or not (last and self.first):
+            json.loads(text)  # anything but one value raises
+            self.found.append(text)
+        self.first = False
+
+    def _between(self, text: str) -> None:
+        if self.depth:
+            self.parts.append(text)
+        elif text.strip(_SPACE):
+            raise ValueError(f"{text[:20]!r} is outside the array")
+
+    def add(self, piece: bytes) -> list[str]:
+        """The elements that end in this piece."""
+        text = piece.decode("utf-8") + "}"
+        at = 0
+        while at < len(text):
+            if self.inside == '"':
+                end = _STRING_REST.match(text, at).end()
+                if text[end:end + 1] == '"':
+                    end, self.inside = end + 1, ""
+                else:
+                    end = len(text)
+                self.parts.append(text[at:end])
+                at = end
+                continue
+            if self.inside:
+                end = text.find(self.inside, at)
+                at = len(text) if end < 0 else end + len(self.inside)
+                self.inside = self.inside if end < 0 else ""
+                continue
+            at = self._plain(text, at)
+        out, self.found = self.found, []
+        return out
+
+    def _plain(self, text: str, at: int) -> int:
+        """Reads on until a comment, a string beyond this piece or its end."""
+        done = at
+        while (place := (_INSIDE if self.depth > 1 else _BETWEEN).match(text, at).end()) < len(text):
+            token, at = text[place], place + 1
+            if token == "/":
+                self._between(text[done:place])
+                self.inside = {"//": "\n", "/*": "*/"}.get(text[place:place + 2], "")
+                if not self.inside:
+                    raise ValueError(f"{text[place:place + 20]!r} is neither a value nor a comment")
+                self._between(" ")
+                return place + 2
+            if self.depth == 0:
+                self._between(text[done:place])
+                if token == "}" and self.closed and not self.ended and place == len(text) - 1:
+                    self.ended = True  # put there by add
+                    return len(text)
+                if token != "[" or self.closed:
+                    raise ValueError(f"{text[place:place + 20]!r} is outside the array")
+                self.depth, done = 1, place + 1
+            elif token == '"':
+                self.parts.append(text[done:])
+                self.inside = '"'
+                return len(text)
+            elif token in "{[":
+                self.depth += 1
+            elif self.depth > 1:
+                self.depth -= token in "}]"
+            elif token in ",]":
+                self.parts.append(text[done:place])
+                self._element(token == "]")
+                done = place + 1
+                if token == "]":
+                    self.depth, self.closed = 0, True
+        self._between(text[done:])
+        return len(text)
+
+    def finish(self) -> None:
+        if not self.closed or self.inside == "*/":
+            raise ValueError("the array is not closed")
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Files that hold one JSON array each to the texts of its elements."""
-    decoder, space = json.JSONDecoder(), re.compile(r"\s*")
+    """Files that hold one JSON array each, piece by piece in their order, to
+    the texts of their elements."""
+    file, cutter, found, size = None, None, [], 0
     for batch in batches:
-        for content in batch.column(0):
-            text = _without_comments(content.as_py().decode("utf-8-sig"))
-            at = space.match(text).end() + 1     # behind the bracket
-            at, found = space.match(text, at).end(), []
-            while text[at] != "]":
-                _, end = decoder.raw_decode(text, at)
-                found.append(text[at:end])
-                if len(found) >= 1000:
+        for name, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if name != file:
+                if cutter is not None:
+                    cutter.finish()
+                file, cutter = name, _ArrayCutter()
+                piece = piece.removeprefix(b"\xef\xbb\xbf")
+            for text in cutter.add(piece):
+                found.append(text)
+                size += len(text)
+                if len(found) >= 1000 or size >= 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["json"])
-                    found = []
-                at = space.match(text, end).end()
-                if text[at] not in ",]":
-                    raise ValueError(f"array element {text[end:end + 20]!r} is followed by neither comma nor bracket")
-                if text[at] == ",":
-                    at = space.match(text, at + 1).end()
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["json"])
+                    found, size = [], 0
+    if cutter is not None:
+        cutter.finish()
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["json"])
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
@@ -193,21 +292,30 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+#: bytes of a file that are read at a time to see its first character
+PEEK = 65_536
+
+
 def _opens_array(spark: SparkSession, file: str) -> bool:
     """Whether the first thing in a file, comments aside, is a bracket; reads
-    its first lines only."""
+    no more than it needs, wherever the line breaks are."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(file)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     stream = fs.open(where)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        head = ""
-        while (line := reader.readLine()) is not None:
-            head += line + "\n"
-            rest = _without_comments(head).lstrip("\ufeff \t\r\n")
-            if rest and not rest.startswith("/*"):
-                return rest[0] == "["
+        head = b""
+        while more := bytes(stream.readNBytes(PEEK)):
+            head = (head + more).lstrip(b"\xef\xbb\xbf \t\r\n")
+            while head.startswith((b"//", b"/*")):
+                end = b"\n" if head.startswith(b"//") else b"*/"
+                at = head.find(end, 2)
+                if at < 0:
+                    head = head[:2] + head[-1:]  # a comment's inside is not kept
+                    break
+                head = head[at + len(end):].lstrip(b" \t\r\n")
+            if head and not head.startswith((b"//", b"/*")) and head != b"/":
+                return head.startswith(b"[")
         return False
     finally:
         stream.close()

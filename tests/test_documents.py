@@ -74,6 +74,52 @@ def test_array_larger_than_a_variant(spark):
     assert docs.agg(F.count("i"), F.sum("i")).first() == (140, sum(range(140)))
 
 
+def test_array_pieces(spark, monkeypatch):
+    """Arrays on one line and on many, read in ranges of a few bytes: braces,
+    brackets, quotes and comment marks inside strings, elements of any kind."""
+    from tallyhawk.sources import documents
+    monkeypatch.setattr(documents, "PEEK", 3, raising=False)
+    rows = [{"_id": str(i), "x": ["}", "{[", '\\"}', "//", "/* } */", "é€😀", "\\", "a,b]"][i % 8] * (i % 5),
+             "in": {"l": [{"a": i}, [], {}]}} for i in range(300)]
+    d = tempfile.mkdtemp(prefix="th-docs-", dir="/tmp")
+    texts = {"one": json.dumps(rows), "raw": json.dumps(rows, ensure_ascii=False), "lines": json.dumps(rows, indent=1),
+             "tight": "\ufeff" + json.dumps(rows, separators=(",", ":")),
+             "notes": "// } [\n/* { \n\" */ /* x */\n[" + ",\n// it's \"}\n".join(map(json.dumps, rows)) + "\n/* } */]\n// } end"}
+    for name, text in texts.items():
+        with open(os.path.join(d, f"{name}.json"), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    try:
+        docs = [json.loads(r[0]) for r in read_documents(spark, d).select(F.to_json("doc")).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    key = lambda r: json.dumps(r, sort_keys=True)
+    assert sorted(map(key, docs)) == sorted(map(key, rows * len(texts)))
+
+
+def test_array_is_never_held_whole(spark):
+    """No reader of whole files is in the plan, and the driver sees a bounded
+    part of an array written on one line."""
+    from tallyhawk.sources import documents
+    d = tempfile.mkdtemp(prefix="th-docs-", dir="/tmp")
+    with open(os.path.join(d, "a.json"), "w") as fh:
+        fh.write(json.dumps([{"_id": i, "body": "x" * 1000} for i in range(3000)]))
+    docs = read_documents(spark, d)
+    assert "binaryFile" not in docs._jdf.queryExecution().toString()
+    assert docs.count() == 3000 and documents.PEEK <= 1 << 20
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": 1},]', '[,{"a": 1}]', '[{"a": 1}, "b]', '[{"a": [1}]]', "[1 2]", '[{"a": 1}] {"a": 2}',
+                                  '[{"a": 1}]]', '[{"a": 1}', '[{"a": 1} /* ]', '[{"a": 1} x, {"a": 2}]', "[{]}", '[{"a": 1}][{"a": 2}]'])
+def test_malformed_arrays_fail(spark, text):
+    d = tempfile.mkdtemp(prefix="th-docs-", dir="/tmp")
+    with open(os.path.join(d, "bad.json"), "w") as fh:
+        fh.write(text)
+    with pytest.raises(Exception):
+        read_documents(spark, d).collect()
+
+
 def test_header_aliases():
     cols = ["AGENT_CODE", "FOLIO (as the sender knows it)", "UNIQUE  TRNX ID @partner", "AMOUNT", "RB_DATE"]
     found = header_map(cols)
