@@ -200,3 +200,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.topk import top_k
     out = top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0)
     return out.withColumnRenamed("id", "vec_id")
+
+
+@query("op11_substring")
+def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.blocks import remove_repeated
+    out, c = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(c["n_words"]).alias("n_words"),
+                      F.aggregate(c["removed"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+                      F.sha2(c["kept"], 256).alias("kept_sha256"))
