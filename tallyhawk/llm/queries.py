@@ -209,3 +209,11 @@ def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col(c["n_words"]).alias("n_words"),
                       F.aggregate(c["removed"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
                       F.sha2(c["kept"], 256).alias("kept_sha256"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that passes 64 bits is null."""
+    from tallyhawk.llm.whitening import whiten
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.withColumnRenamed("id", "vec_id").withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
