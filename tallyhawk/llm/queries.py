@@ -217,3 +217,39 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhawk.llm.whitening import whiten
     out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return out.withColumnRenamed("id", "vec_id").withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+@query("op12_trie", r"""
+with t as (
+  select conv_id as conv, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first,
+                            md5(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as pos
+  from conversations where conv_id is not null),
+z as (select conv, count(*) as size from t group by conv),
+h as (select z.conv, z.conv - z.conv % 5 as source,
+             xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(z.conv::varchar, ''), lambda x: ascii(x)::bigint)),
+                             lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, s: xor(v >> 1, (v & 1) * 3988292384))),
+                 4294967295) % 9 as most from z),
+g as (select h.*, least(most, coalesce(z.size, 0)) as taken from h left join z on z.conv = h.source),
+r as (select g.conv, t.pos, t.role, t.text from g join t on t.conv = g.source where t.pos < g.most
+      union all select g.conv, g.taken + t.pos - g.most, t.role, t.text from g join t on t.conv = g.conv where t.pos >= g.most),
+p as (select conv, pos + 1 as depth, strlen(text) as bytes,
+             md5(string_agg(strlen(role)::varchar || ':' || strlen(text)::varchar || ':' || role || text, '') over (partition by conv order by pos)) as name,
+             lag(pos) over (partition by conv order by pos desc) is null as last from r
+      union all select conv, 0, 0, '', conv not in (select conv from r) from g),
+n as (select name, min(conv) as conv, any_value(depth) as depth, count(*) as n_convs, any_value(bytes) as bytes,
+             sha256(coalesce(string_agg(conv::varchar, ',' order by conv) filter (where last), '')) as ends_sha256 from p group by name),
+m as (select n.*, b.name as parent from n left join p b on b.conv = n.conv and b.depth = n.depth - 1),
+c as (select parent as name, count(*) as n_children from m where parent is not null group by parent),
+v as (select m.*, coalesce(c.n_children, 0) as n_children from m left join c using (name)),
+s as (select a.name, sum((v.n_convs - 1) * v.bytes) as saved, sum((v.n_children = 0)::bigint) as leaves
+      from v join p a on a.conv = v.conv and a.depth <= v.depth group by a.name)
+select v.conv as conv_id, v.depth::bigint as depth, b.conv as parent_conv_id, v.n_convs::bigint as n_convs, v.n_children::bigint as n_children,
+       s.leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, v.ends_sha256
+from v join s using (name) left join n b on b.name = v.parent""")
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhawk.llm.trie import prefix_trie, turns_of, with_heads
+    conv = F.col("conv")
+    turns, members = with_heads(turns_of(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")),
+                                conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9, 8)
+    return prefix_trie(turns, members)

@@ -2,6 +2,7 @@
 one row per row of their table."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -11,7 +12,7 @@ from tests.conftest import SF_SMALL
 catalog.load_all()
 TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
 PER_ROW = {"op2_toxicity": "documents", "op3_simhash": "documents", "op5_bpe": "documents", "op7_quality": "documents",
-           "op10_suffix": "documents"}
+           "op10_suffix": "documents", "op11_substring": "documents"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,10 @@ def con():
 
 def rows_of(pdf):
     cols = sorted(pdf.columns)
-    norm = lambda v: None if v is None or v != v else round(v, 6) if isinstance(v, float) else v
+    def norm(v):
+        if pd.isna(v):
+            return None
+        return (int(v) if v.is_integer() else round(v, 6)) if isinstance(v, float) else v
     return cols, sorted((tuple(norm(x) for x in r) for r in pdf[cols].itertuples(index=False)),
                         key=lambda r: tuple((x is None, str(x)) for x in r))
 
