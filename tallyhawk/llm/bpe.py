@@ -6,14 +6,16 @@ a state with an arc v, an arc for the merged token is added beside u that leads
 where v leads, and u is led to a copy of its state without the arc v. After all
 merges the automaton accepts exactly the token sequences that applying the
 merges would make, and it is deterministic. The state after a token depends on
-that token alone, so one row per token says where its arc leads; a copied
-state is stored as (state it was copied from, arc left out, merge), and an arc
-is looked up along these rows.
+that token alone, so a state is the token that leads to it, and the automaton is
+a flat table of the arcs that gadgets left out: (u, v) and the rank of the merge.
+The state of a merged token was copied from that of its right part, and an arc
+for a merged token was added where its left part had one, so whether a state
+has an arc is looked up for the parts in turn, down to the ranks that made them.
 
-A word is encoded by one run over its symbols: of all tokens that begin at a
-place, those with an arc from the state reached there are taken, and every
-place is reached by exactly one of them. The labels of the arcs of the run are
-the tokens; decoding emits the labels.
+A word is encoded by one run over its symbols, the longest token first: an arc
+is taken if the state reached has it, and given back if the run gets stuck. No
+place is reached by two runs, so none is tried twice. The labels of the arcs of
+the run are the tokens; decoding emits the labels.
 
 The vocabulary file is read where the plan is made and sent to the tasks (its
 size is that of the vocabulary); tasks need no file.
@@ -26,6 +28,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from tallyhawk.llm.common import cut, fresh
 #: white space of the file's patterns (fixed value)
 SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: words and arcs kept per task, and bytes or ids per output batch
-CACHED_WORDS, CACHED_ARCS = 100_000, 100_000
+CACHED_WORDS, CACHED_ARCS = 150_000, 200_000
 BATCH_SIZE = 1_000_000
 #: the split into words of the file (fixed value), and its faster equal for ASCII in lower case
 KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -58,88 +61,88 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         size = max(vocab.values()) + 1
-        self.suffix, self.vocab = suffix, vocab
-        self.left, self.made = [-1] * size, [-1] * size
-        self.live = [True] * size
-        self.leads = [0] * size  # state that the arc of a token leads to
-        self.copy_of, self.without, self.born = [-1], [-1], [-1]  # rows of the states
-        self.symbols: dict[int, tuple[int, ...]] = {}
-        base = {c: vocab[c] for s in byte_symbols() for c in (s, s + suffix) if c in vocab}
-        for t in base.values():
-            self.symbols[t] = (t,)
+        self.left, self.right, self.made = [-1] * size, [-1] * size, [-1] * size
+        self.removed: dict[int, dict[int, int]] = {}  # of a state, the arcs left out and the ranks of their merges
+        self.last = len(merges) + 1
+        live, texts = [True] * size, {}  # a symbol is one character: a byte, or 256 + the last byte of a word
+        for byte, mark in enumerate(byte_symbols()):
+            if mark + suffix in vocab:
+                texts[vocab[mark + suffix]] = chr(256 + byte)
+            if mark in vocab:
+                texts[vocab[mark]] = chr(byte)
+        self.gaps = {c for b in range(256) for c in (chr(b), chr(256 + b))} - set(texts.values())
+        self.marks = bool(suffix)
         for rank, (a, b) in enumerate(merges):
-            self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self.tree: dict = {}  # of the symbols of all tokens that can occur; None holds the token that ends there
-        for t, symbols in self.symbols.items():
-            if self.live[t]:
-                place = self.tree
-                for s in symbols:
-                    place = place.setdefault(s, {})
-                place[None] = t
-        del self.vocab, self.symbols  # tasks need neither
-        marks = byte_symbols()
-        self.inner = [base.get(marks[b], -1) for b in range(256)]
-        self.final = [base.get(marks[b] + suffix, -1) for b in range(256)]
-
-    def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
-        if self.made[uv] >= 0 or self.symbols.get(uv, (0, 0)) == (uv,):
-            raise ValueError(f"token {uv} is made twice")
-        self.symbols[uv] = self.symbols[u] + self.symbols[v]
-        self.left[uv], self.made[uv] = u, rank
-        self.live[uv] = self.live[u] and self.live[v] and self.has_arc(self.leads[u], v)
-        if self.live[uv]:
-            self.leads[uv] = self.leads[v]
-            self.copy_of.append(self.leads[u])
-            self.without.append(v)
-            self.born.append(rank)
-            self.leads[u] = len(self.born) - 1
+            u, v, uv = vocab[a], vocab[b], vocab[a + b]
+            if uv in texts:
+                raise ValueError(f"token {uv} is made twice")
+            texts[uv] = texts[u] + texts[v]
+            live[uv] = live[u] and live[v] and self.has_arc(u, v)
+            self.left[uv], self.right[uv], self.made[uv] = u, v, rank
+            if live[uv]:
+                self.removed.setdefault(u, {})[v] = rank
+        #: tokens that can occur by their symbols, and the longest by the first three
+        self.tokens = {text: t for t, text in texts.items() if live[t]}
+        self.longest: dict[str, int] = {}
+        for text in self.tokens:
+            if len(text) > 2:
+                self.longest[text[:3]] = max(len(text), self.longest.get(text[:3], 3))
 
     def has_arc(self, state: int, token: int) -> bool:
-        """Whether ``state`` has an arc ``token``: an arc older than the state
-        was copied with it unless left out; a younger one was added because
-        the state had the arc of the token's left part."""
+        """Whether the state after token ``state`` has an arc ``token``: no
+        merge of what they were made of came before what they became. Of equal
+        ranks the merge further left comes first."""
+        left, right, made, removed, before = self.left, self.right, self.made, self.removed, self.last
         while True:
-            if not self.live[token]:
+            gone = removed.get(state)
+            if gone is not None and gone.get(token, before) < before:
                 return False
-            if self.born[state] > self.made[token]:
-                if self.without[state] == token:
-                    return False
-                state = self.copy_of[state]
-            elif self.left[token] < 0:
-                return True
+            a, b = made[state], made[token]
+            if a > b:
+                before, state = a, right[state]
+            elif b >= 0:
+                before, token = b + 1, left[token]
             else:
-                token = self.left[token]
+                return True
 
     def encode(self, word: bytes, arcs: dict[int, bool]) -> list[int]:
         """Tokens of one word; ``arcs`` is the table of arcs looked up so far."""
-        symbols = [self.inner[b] for b in word]
-        symbols[-1] = self.final[word[-1]]
-        if -1 in symbols:  # bytes that the vocabulary lacks are left out
-            symbols = [s for s in symbols if s >= 0]
-        n, tree, leads, size = len(symbols), self.tree, self.leads, len(self.leads)
-        came, token = [0] * (n + 1), [-1] * (n + 1)
-        state = 0
-        for i in range(n):
-            if i:
-                state = leads[token[i]]
-            place, j = tree, i
-            while j < n:
-                place = place.get(symbols[j])
-                if place is None:
-                    break
-                j += 1
-                if token[j] < 0 and None in place:
-                    t = place[None]
-                    ok = arcs.get(state * size + t)
+        symbols = word.decode("latin-1")
+        if self.marks:
+            symbols = symbols[:-1] + chr(256 + word[-1])
+        if not self.gaps.isdisjoint(symbols):  # bytes that the vocabulary lacks are left out
+            symbols = "".join(s for s in symbols if s not in self.gaps)
+        n, size = len(symbols), len(self.made)
+        tokens, longest, known = self.tokens.get, self.longest.get, arcs.get
+        out: list[int] = []
+        starts: list[int] = []
+        at, state = 0, -1
+        to = min(longest(symbols[:3], 2), n)
+        while at < n:
+            while to > at:
+                token = tokens(symbols[at:to])
+                if token is not None:
+                    if state < 0:
+                        break
+                    ok = known(state * size + token)
                     if ok is None:
-                        ok = arcs[state * size + t] = self.has_arc(state, t)
+                        ok = arcs[state * size + token] = self.has_arc(state, token)
                     if ok:
-                        came[j], token[j] = i, t
-        out = []
-        while n:
-            out.append(token[n])
-            n = came[n]
-        return out[::-1]
+                        break
+                to -= 1
+            if to > at:
+                out.append(token)
+                starts.append(at)
+                at, state = to, token
+                to = at + longest(symbols[at:at + 3], 2)
+                if to > n:
+                    to = n
+            else:  # stuck: the last arc is given back for a shorter one
+                to = at - 1
+                at = starts.pop()
+                out.pop()
+                state = out[-1] if out else -1
+        return out
 
 
 class Tokenizer:
@@ -178,8 +181,9 @@ class Worker:
                 if len(words) >= CACHED_WORDS:
                     words.before = dict(words)
                     words.clear()
-                if len(self.arcs) >= CACHED_ARCS:
-                    self.arcs.clear()
+                if len(self.arcs) >= CACHED_ARCS:  # the older half goes
+                    for key in list(islice(self.arcs, CACHED_ARCS // 2)):
+                        del self.arcs[key]
                 ids = words.before.get(word)
                 if ids is None:
                     ids = array("i", tokenizer.automaton.encode(word.encode(), self.arcs)).tobytes()
