@@ -95,12 +95,13 @@ def typology(text) -> Column:
 
 
 def risk_band(p) -> Column:
-    """Advisory band for a probability: the first band whose cut it reaches."""
-    p = _c(p)
+    """Advisory band for a probability: the first band whose cut it reaches;
+    no band without a score (null or NaN)."""
+    p = score_or_null(p)
     expr = F.lit(K.RISK_BANDS[-1][1])
     for cut, name in reversed(K.RISK_BANDS[:-1]):
         expr = F.when(p >= F.lit(cut), F.lit(name)).otherwise(expr)
-    return expr
+    return F.when(p.isNotNull(), expr)
 
 
 def is_legacy_code(c) -> Column:
@@ -108,8 +109,8 @@ def is_legacy_code(c) -> Column:
 
 
 def score_or_null(score) -> Column:
-    """A score as double; NaN is no score. Rows without a score count neither
-    as flagged nor as passed, in every metric."""
+    """A score as double; NaN is no score. Rows without a score take no part
+    in any metric and have no band."""
     s = _c(score).cast("double")
     return F.when(~F.isnan(s), s)
 

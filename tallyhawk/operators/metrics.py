@@ -25,6 +25,11 @@ def _num(c) -> Column:
     return F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+def with_score(df: DataFrame, score: str) -> DataFrame:
+    """The rows that have a score; all that a metric ever sees."""
+    return df.filter(score_or_null(F.col(score)).isNotNull())
+
+
 def _join_on(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join per key, a null key being a key like any other; without keys ``b`` is a one-row aggregate and is
     broadcast (a constant-key shuffle join would put every row in one task)."""
@@ -46,7 +51,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",
     no single task ever sorts all scores.
     """
     keys = list(keys or [])
-    d = (df.filter(score_or_null(F.col(score)).isNotNull())
+    d = (with_score(df, score)
            .groupBy(*keys, F.col(score).cast("double").alias("_s"))
            .agg(F.sum(F.col(y).cast("long")).alias("_pos"),
                 F.sum((1 - F.col(y)).cast("long")).alias("_neg")))
@@ -72,9 +77,9 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score",
 def threshold_metrics(df: DataFrame, threshold: float, y: str = "y", score: str = "score",
                       keys: list[str] | None = None) -> DataFrame:
     keys = list(keys or [])
-    pred = score_or_null(F.col(score)) >= F.lit(float(threshold))
+    pred = F.col(score).cast("double") >= F.lit(float(threshold))
     pos = F.col(y) == 1
-    r = df.groupBy(*keys).agg(
+    r = with_score(df, score).groupBy(*keys).agg(
         F.count_if(pos & pred).alias("tp"), F.count_if(~pos & pred).alias("fp"),
         F.count_if(pos & ~pred).alias("fn"), F.count_if(~pos & ~pred).alias("tn"),
         F.count(F.lit(1)).alias("_n"))
@@ -99,10 +104,10 @@ def cost(df: DataFrame, threshold: float, y: str = "y", score: str = "score", am
     frac = K.FN_LOSS_FRACTION if fn_loss_fraction is None else fn_loss_fraction
     fixed = K.FN_FIXED_COST if fn_fixed_cost is None else fn_fixed_cost
     fp_each = F.col(fpc).cast("double") if isinstance(fpc, str) else F.lit(float(fpc))
-    pred = score_or_null(F.col(score)) >= F.lit(float(threshold))
+    pred = F.col(score).cast("double") >= F.lit(float(threshold))
     fn_m = (F.col(y) == 1) & ~pred
     fp_m = (F.col(y) == 0) & pred
-    r = df.groupBy(*keys).agg(
+    r = with_score(df, score).groupBy(*keys).agg(
         F.sum(F.when(fn_m, _num(amount)).otherwise(0.0)).alias("_fn_amt"),
         F.count_if(fn_m).alias("n_missed_fraud"),
         F.sum(F.when(fp_m, fp_each).otherwise(0.0)).alias("fp_cost"),
@@ -128,8 +133,9 @@ def evaluate(df: DataFrame, threshold: float, keys: list[str] | None = None, **k
 
 def segment_metrics(df: DataFrame, threshold: float, segment: str = "segment", min_n: int = 30,
                     **kw) -> DataFrame:
-    """Metrics per segment (null -> '(missing)'), segments below ``min_n`` skipped."""
-    d = df.withColumn("segment", F.coalesce(F.col(segment).cast("string"), F.lit("(missing)")))
+    """Metrics per segment (null -> '(missing)') of the rows with a score,
+    segments below ``min_n`` of them skipped."""
+    d = with_score(df, kw.get("score", "score")).withColumn("segment", F.coalesce(F.col(segment).cast("string"), F.lit("(missing)")))
     sizes = d.groupBy("segment").agg(F.count(F.lit(1)).alias("n"),
                                      F.avg(F.col(kw.get("y", "y")).cast("double")).alias("fraud_rate"))
     big = sizes.filter(F.col("n") >= min_n)
@@ -144,7 +150,7 @@ def _grid_table(df: DataFrame, y: str, score: str, amount: str, fp_each: Column,
     """Per (keys, grid bucket k): positives' amount and count, negatives'
     fp cost and count. k = number of grid points i/100 that are <= score."""
     pos = F.col(y) == 1
-    return (df.withColumn("_k", grid_index(F.col(score), GRID_STEPS))
+    return (with_score(df, score).withColumn("_k", grid_index(F.col(score), GRID_STEPS))
               .groupBy(*keys, "_k").agg(
                   F.sum(F.when(pos, _num(amount)).otherwise(0.0)).alias("_pamt"),
                   F.count_if(pos).alias("_pcnt"),
@@ -202,7 +208,7 @@ def cost_grid(df: DataFrame, fp_costs=None, y: str = "y", score: str = "score",
     costs = [float(c) for c in (fp_costs or K.COST_GRID_FP)]
     frac = K.FN_LOSS_FRACTION if fn_loss_fraction is None else fn_loss_fraction
     fixed = K.FN_FIXED_COST if fn_fixed_cost is None else fn_fixed_cost
-    n = df.agg(F.count(F.lit(1)).alias("n"))
+    n = with_score(df, score).agg(F.count(F.lit(1)).alias("n"))
     curve = threshold_curve(df, y, score, amount, fp_unit_cost=0.0, fn_loss_fraction=frac,
                             fn_fixed_cost=fixed)
     per = (curve.withColumn("fp_unit_cost", F.explode(F.array(*[F.lit(c) for c in costs])))
@@ -251,7 +257,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int | Non
 def reliability_table(df: DataFrame, y: str = "y", prob: str = "score", n_bins: int = 10) -> DataFrame:
     """Mean predicted vs observed rate per quantile bin; a row's bin is the
     number of interior quantile edges strictly below its probability; empty
-    bins are absent."""
+    bins are absent, as are rows without a probability."""
+    df = with_score(df, prob)
     qs = [i / n_bins for i in range(1, n_bins)]
     edges = exact_quantiles(df, prob, qs)
     arr = edges.agg(F.array_sort(F.collect_list("value")).alias("_edges"))  # n_bins - 1 values
@@ -264,8 +271,10 @@ def reliability_table(df: DataFrame, y: str = "y", prob: str = "score", n_bins:
 
 
 def band_distribution(df: DataFrame, prob: str = "score", y: str | None = "y") -> DataFrame:
-    """Counts, share and fraud rate per advisory band; empty bands kept."""
+    """Counts, share and fraud rate per advisory band of the rows with a
+    probability; empty bands kept."""
     spark = df.sparkSession
+    df = with_score(df, prob)
     bands = spark.createDataFrame([(name, i) for i, (_, name) in enumerate(K.RISK_BANDS)],
                                   "band string, band_order int")
     aggs = [F.count(F.lit(1)).alias("_c")]

@@ -68,6 +68,10 @@ select event_id as id, case when event_type = 'error' then 1 else 0 end as y,
 from events""",
 }
 
+VIEWS["scored_gaps"] = f"""
+select s.* replace (case when id % 13 = 5 then 'NaN'::double when id % 7 <> 2 then score end as score)
+from ({VIEWS['scored']}) s"""
+
 # Hash of the fixture salt + normalised value, as the Spark pseudonym.
 def hash_sql(expr: str) -> str:
     norm = f"lower(regexp_replace(cast({expr} as varchar), '^\\s+|\\s+$', '', 'g'))"

@@ -9,7 +9,7 @@ from tallyhawk import contract as K
 from tallyhawk.functions.columns import risk_band
 from tallyhawk.operators import metrics as M
 from tallyhawk.operators import policy as P
-from tallyhawk.plans.catalog import query
+from tallyhawk.plans.catalog import ORACLE, query
 from tallyhawk.plans.oracle_views import with_views
 from tallyhawk.sources import fixtures as FX
 
@@ -128,8 +128,8 @@ from g, scored s group by g.threshold)"""
 @query("threshold_curve", SC + _curve_sql() + """
 select threshold, round(fn_cost, 2) as fn_cost, round(fp_cost, 2) as fp_cost,
        round(fn_cost + fp_cost, 2) as total_cost, tp, fp, fn, tn from curve""")
-def threshold_curve(spark, sf_dir):
-    c = M.threshold_curve(_scored(spark, sf_dir))
+def threshold_curve(spark, sf_dir, scored=_scored):
+    c = M.threshold_curve(scored(spark, sf_dir))
     return _r(c, ["fn_cost", "fp_cost", "total_cost"], 2)
 
 
@@ -160,12 +160,12 @@ def _eval_select(ev):
 , t as (""" + _threshold_sql("scored", T) + """)
 , k as (""" + _cost_sql("scored", T) + """)
 select * from r, t, k""")
-def evaluate(spark, sf_dir):
-    return _eval_select(M.evaluate(_scored(spark, sf_dir), T))
+def evaluate(spark, sf_dir, scored=_scored):
+    return _eval_select(M.evaluate(scored(spark, sf_dir), T))
 
 
-def _configs(spark, sf_dir):
-    s = _scored(spark, sf_dir)
+def _configs(spark, sf_dir, scored):
+    s = scored(spark, sf_dir)
     rules = F.when(F.col("segment").isin("1", "2"), F.lit(1.0)).otherwise(F.lit(0.0))
     cfg = F.explode(F.array(F.struct(F.lit("model").alias("config"), F.col("score").alias("s")),
                             F.struct(F.lit("rules").alias("config"), rules.alias("s"))))
@@ -198,8 +198,8 @@ group by {key}"""
 select r.config, r.auroc, r.pr_auc, t.recall, t.precision, t.false_positive_rate,
        k.n_missed_fraud, k.n_false_declines, k.cost_per_million
 from r join t on r.config = t.config join k on k.config = r.config""")
-def compare_configs(spark, sf_dir):
-    ev = _eval_select(M.evaluate(_configs(spark, sf_dir), T, keys=["config"]))
+def compare_configs(spark, sf_dir, scored=_scored):
+    ev = _eval_select(M.evaluate(_configs(spark, sf_dir, scored), T, keys=["config"]))
     return ev.select("config", "auroc", "pr_auc", "recall", "precision", "false_positive_rate",
                      "n_missed_fraud", "n_false_declines", "cost_per_million")
 
@@ -213,8 +213,8 @@ def compare_configs(spark, sf_dir):
 , k as ({_cost_sql('big', T, keys='segment')})
 select sizes.segment, sizes.n, sizes.fraud_rate, r.auroc, r.pr_auc, t.recall, t.precision, k.cost_per_million
 from sizes join r on r.segment = sizes.segment join t on t.segment = sizes.segment join k on k.segment = sizes.segment""")
-def segment_metrics(spark, sf_dir):
-    s = M.segment_metrics(_scored(spark, sf_dir), T, min_n=30)
+def segment_metrics(spark, sf_dir, scored=_scored):
+    s = M.segment_metrics(scored(spark, sf_dir), T, min_n=30)
     s = s.withColumnsRenamed({"AUROC": "auroc", "PR_AUC": "pr_auc"})
     return _r(_r(s, ["fraud_rate", "auroc", "pr_auc", "recall", "precision"]), ["cost_per_million"], 2)
 
@@ -230,8 +230,8 @@ select fp_unit_cost, threshold, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) a
        round(coalesce(tp / nullif(tp + fp, 0), 0), 6) as precision,
        round(total / (select count(*) from scored) * 1000000, 2) as cost_per_million
 from best where rn = 1""")
-def cost_grid(spark, sf_dir):
-    g = M.cost_grid(_scored(spark, sf_dir))
+def cost_grid(spark, sf_dir, scored=_scored):
+    g = M.cost_grid(scored(spark, sf_dir))
     return _r(_r(g, ["recall", "precision"]), ["cost_per_million"], 2)
 
 
@@ -240,8 +240,8 @@ def cost_grid(spark, sf_dir):
 select cast(len(list_filter(e.edges, lambda x: x < s.score)) as bigint) as bin,
        round(avg(s.score), 6) as predicted, round(avg(cast(s.y as double)), 6) as actual, count(*) as n
 from scored s, e group by 1""")
-def reliability_table(spark, sf_dir):
-    r = M.reliability_table(_scored(spark, sf_dir), n_bins=10)
+def reliability_table(spark, sf_dir, scored=_scored):
+    r = M.reliability_table(scored(spark, sf_dir), n_bins=10)
     return _r(r.withColumn("bin", F.col("bin").cast("bigint")), ["predicted", "actual"])
 
 
@@ -257,8 +257,8 @@ select b.band, b.band_order, coalesce(g.c, 0) as count, round(coalesce(g.c, 0) *
        round(case when g.c > 0 then g.pos * 100.0 / g.c end, 6) as fraud_rate_pct,
        case when g.c > 0 then g.pos end as fraud_caught
 from b left join g on g.band = b.band, n""")
-def band_distribution(spark, sf_dir):
-    return _r(M.band_distribution(_scored(spark, sf_dir)), ["pct", "fraud_rate_pct"])
+def band_distribution(spark, sf_dir, scored=_scored):
+    return _r(M.band_distribution(scored(spark, sf_dir)), ["pct", "fraud_rate_pct"])
 
 
 @query("risk_band", SC + f"select id, {BAND_CASE} as risk_band from scored")
@@ -351,3 +351,26 @@ def compare_presets(spark, sf_dir):
     s = s.withColumn("_fpb", P.FalsePositiveCost().of(s, amount="amount"))
     r = P.compare_presets(s, "_fpb")
     return _r(_r(r, ["recall", "precision", "false_positive_rate", "flagged_pct"]), ["cost_per_million"], 2)
+
+
+# --- the same operators on a population with null and NaN scores: equal to dropping those rows first
+GAPS = with_views("scored_gaps", extra={"scored": "select * from scored_gaps where score is not null and not isnan(score)"})
+
+
+def _with_gaps(name: str, fn) -> None:
+    sql = ORACLE[name].removeprefix(SC)
+    if name == "compare_configs":  # the rules score every row
+        sql = sql.replace("as score from scored)", "as score from scored_gaps)")
+    query(f"{name}_gaps", GAPS + sql)(lambda spark, sf_dir: fn(spark, sf_dir, FX.scored_gaps))
+
+
+for _name, _fn in (("evaluate", evaluate), ("compare_configs", compare_configs), ("threshold_curve", threshold_curve),
+                   ("segment_metrics", segment_metrics), ("cost_grid", cost_grid),
+                   ("reliability_table", reliability_table), ("band_distribution", band_distribution)):
+    _with_gaps(_name, _fn)
+
+
+@query("risk_band_gaps", with_views("scored_gaps") + f"""
+select id, case when score is null or isnan(score) then null else {BAND_CASE} end as risk_band from scored_gaps""")
+def risk_band_gaps(spark, sf_dir):
+    return FX.scored_gaps(spark, sf_dir).select("id", risk_band("score").alias("risk_band"))

@@ -150,6 +150,12 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored population with rows that have no score, null or NaN."""
+    s = scored(spark, sf_dir)
+    return s.withColumn("score", F.when(F.col("id") % 13 == 5, F.lit(float("nan"))).when(F.col("id") % 7 != 2, F.col("score")))
+
+
 # --- contract-shaped tables (what extraction produces) ----------------------
 
 def transfer_table(spark: SparkSession, sf_dir: str, salt: str = FIXTURE_SALT) -> DataFrame:

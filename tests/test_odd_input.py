@@ -64,6 +64,27 @@ def test_rows_without_a_score_count_nowhere(spark):
         assert got["tp"] + got["fp"] + got["fn"] + got["tn"] == 4
 
 
+def test_rows_without_a_score_are_as_dropped(spark):
+    """Every output column of every operator, keyed or not."""
+    df = spark.createDataFrame(ROWS + [("b", 1, None, 2.0), ("b", 0, float("nan"), 3.0)], SCORED).withColumn("fpc", F.lit(2.0))
+    clean = df.where("score is not null and not isnan(score)")
+    ops = [lambda d: M.ranking_metrics(d), lambda d: M.threshold_metrics(d, 0.5), lambda d: M.threshold_metrics(d, 0.5, keys=["k"]),
+           lambda d: M.cost(d, 0.5), lambda d: M.cost(d, 0.5, fp_unit_cost="fpc", keys=["k"]), lambda d: M.evaluate(d, 0.5, keys=["k"]),
+           lambda d: M.segment_metrics(d, 0.5, segment="k", min_n=1), lambda d: M.segment_metrics(d, 0.5, segment="k", min_n=3),
+           lambda d: M.threshold_curve(d, keys=["k"]), lambda d: M.cost_grid(d), lambda d: M.reliability_table(d, n_bins=3),
+           lambda d: M.band_distribution(d)]
+    for op in ops:
+        assert sorted(map(repr, op(df).collect())) == sorted(map(repr, op(clean).collect()))
+
+
+def test_no_score_has_no_band_and_no_text(spark):
+    from tallyhawk.functions.columns import risk_band
+    df = spark.createDataFrame([(float("nan"),), (None,), (0.9,)], "p double")
+    none = F.array(F.struct(F.lit(1).alias("rank"), F.lit("x").alias("label"), F.lit("y").alias("value"), F.lit(0.0).alias("hidden_signal_weight")))
+    got = df.select(risk_band("p"), SC.explain_text(F.col("p"), none)).collect()
+    assert [tuple(r) for r in got[:2]] == [(None, None)] * 2 and got[2][0] == "Critical" and got[2][1].startswith("Critical risk (90.0%)")
+
+
 def test_a_null_key_is_a_key(spark):
     df = spark.createDataFrame(ROWS, SCORED)
     assert {r["k"] for r in M.evaluate(df, 0.5, keys=["k"]).collect()} == {"a", None}
