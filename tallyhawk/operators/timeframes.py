@@ -12,7 +12,10 @@ together, and a hot key is spread over as many tasks as it has buckets.
 A frame [t + lo, t + hi] is the difference of two frames that only grow
 (everything up to t + hi, less everything before t + lo), because Spark adds a
 row to a growing frame once, while a sliding frame is summed anew for each
-row. Sums are taken in decimal so that the difference is exact.
+row. So that the difference is exact, an amount is taken apart into whole
+numbers of 2^62, 2^31, 1, 2^-31 and 2^-62 (an exact split of a double but for
+what is below the last), and these are summed as 64-bit numbers. Amounts of
+2^92 (5e27) and more count as infinite. NaN is no amount.
 """
 
 from __future__ import annotations
@@ -34,27 +37,33 @@ class Frame:
     hi_us: int
 
 
-SUM_TYPE = "decimal(28,8)"
+#: the parts of an amount: (name, size of its unit, size of the unit above)
+PARTS = (("_p62", 2.0 ** 62, None), ("_p31", 2.0 ** 31, 2.0 ** 62), ("_p0", 1.0, 2.0 ** 31),
+         ("_m31", 2.0 ** -31, 1.0), ("_m62", 2.0 ** -62, 2.0 ** -31))
+HUGE = 2.0 ** 92
+_DOWN = 1 << 32
 
 
-def _agg(frame: Frame, base, t: Column) -> Column:
-    """``base`` orders a frame behind the row by time, one ahead by time
-    descending, so that both grow from the far end towards the row."""
-    near, far = (frame.hi_us, frame.lo_us) if frame.hi_us < 0 else (-frame.lo_us, -frame.hi_us)
-    upto = lambda c, edge: c.over(base.rangeBetween(Window.unboundedPreceding, edge))
-    if frame.agg == "exists":
-        closest = upto(F.max(t) if frame.hi_us < 0 else F.min(t), near)
-        return F.coalesce(F.abs(closest - t) <= F.lit(-far), F.lit(False))
-    if frame.agg == "count":
-        c = F.count(F.col(frame.value) if frame.value else F.lit(1))
-        return upto(c, near) - upto(c, far - 1)
-    if frame.agg == "sum":
-        v = F.col(frame.value)
-        inside = upto(F.count(v), near) - upto(F.count(v), far - 1)
-        c = F.sum(v.try_cast(SUM_TYPE))
-        total = F.coalesce(upto(c, near), F.lit(0)) - F.coalesce(upto(c, far - 1), F.lit(0))
-        return F.when(inside > 0, total.cast("double"))
-    raise ValueError(f"unknown frame aggregate {frame.agg!r}")
+def _split(value: str) -> dict[str, Column]:
+    """Columns with the whole-number parts of a value; ``_n`` marks a value,
+    ``_w`` one that counts as infinite (1 up, 2^32 down)."""
+    v = F.col(value).cast("double")
+    v = F.when(~F.isnan(v), v)
+    usual = F.when(F.abs(v) < HUGE, v)
+    cols = {f"{value}{name}": ((usual if above is None else usual % F.lit(above)) / F.lit(unit)).cast("long")
+            for name, unit, above in PARTS}
+    wild = F.when(v >= HUGE, F.lit(1)).when(v <= -HUGE, F.lit(_DOWN)).cast("long")
+    return cols | {f"{value}_n": v.isNotNull().cast("long"), f"{value}_w": wild}
+
+
+def _joined(sums: dict[str, Column]) -> Column:
+    """The sum of a frame from the sums of its parts; null for no value."""
+    # the smallest first: each step rounds at the size reached
+    total = sum((sums[name].cast("double") * F.lit(unit) for name, unit, _ in reversed(PARTS)), F.lit(0.0))
+    up, down = sums["_w"].bitwiseAND(F.lit(_DOWN - 1)) > 0, F.shiftright(sums["_w"], 32) > 0
+    inf = float("inf")
+    total = F.when(up & down, F.lit(float("nan"))).when(up, F.lit(inf)).when(down, F.lit(-inf)).otherwise(total)
+    return F.when(sums["_n"] > 0, total)
 
 
 def with_time_frames(df: DataFrame, key: str, us_col: str, frames: list[Frame],
@@ -97,6 +106,34 @@ def with_time_frames(df: DataFrame, key: str, us_col: str, frames: list[Frame],
                 .withColumn("_place", F.explode(places))
                 .select("*", "_place._b", "_place._halo").drop("_place"))
     part = Window.partitionBy(key, "_b", "_valid")
-    cols = {f.name: F.when(F.col("_valid"), _agg(f, part.orderBy(t if f.hi_us < 0 else t.desc()), t))
-            for f in frames}
-    return placed.withColumns(cols).filter(~F.col("_halo")).drop("_b", "_halo", "_valid")
+    # the values are split behind the exchange, which carries them whole
+    placed = placed.repartition(key, "_b", "_valid")
+    for value in sorted({f.value for f in frames if f.value and f.agg in ("count", "sum")}):
+        placed = placed.withColumns(_split(value))
+    sums, cols = {}, {}
+    zero = F.lit(0).cast("long")
+
+    def upto(c: Column, behind: bool, edge: int) -> Column:
+        """``c`` over all rows up to an edge. Frames behind the row are ordered
+        by time, those ahead by time descending: both grow towards the row."""
+        at = part.orderBy(t if behind else t.desc()).rangeBetween(Window.unboundedPreceding, edge)
+        return F.col(sums.setdefault((str(c), behind, edge), (f"_upto_{len(sums)}", c.over(at)))[0])
+
+    for f in frames:
+        behind = f.hi_us < 0
+        near, far = (f.hi_us, f.lo_us) if behind else (-f.lo_us, -f.hi_us)
+
+        def inside(c: Column, behind=behind, near=near, far=far) -> Column:
+            return F.coalesce(upto(c, behind, near), zero) - F.coalesce(upto(c, behind, far - 1), zero)
+
+        if f.agg == "exists":
+            closest = upto(F.max(t) if behind else F.min(t), behind, near)
+            cols[f.name] = F.coalesce(F.abs(closest - t) <= F.lit(-far), F.lit(False))
+        elif f.agg == "count":
+            cols[f.name] = inside(F.sum(f"{f.value}_n") if f.value else F.count(F.lit(1)))
+        elif f.agg == "sum":
+            cols[f.name] = _joined({n: inside(F.sum(f"{f.value}{n}")) for n in ("_n", "_w", *[n for n, _, _ in PARTS])})
+        else:
+            raise ValueError(f"unknown frame aggregate {f.agg!r}")
+    found = placed.withColumns(dict(sums.values())).filter(~F.col("_halo"))
+    return found.select(*df.columns, *[F.when(F.col("_valid"), c).alias(n) for n, c in cols.items()])

@@ -280,14 +280,22 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files at a path or pattern, on any Hadoop file system, sorted."""
+    """Data files at a path or pattern, folders below it included, on any
+    Hadoop file system, sorted. Names that begin with a dot or an underscore
+    (and folders so named) are no data."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found: list[str] = []
     for top in fs.globStatus(where) or []:
-        for s in (fs.listStatus(top.getPath()) if top.isDirectory() else [top]):
-            if s.isFile() and s.getLen() and not s.getPath().getName().startswith((".", "_")):
+        todo = [top]
+        while todo:
+            s = todo.pop()
+            if s is not top and s.getPath().getName().startswith((".", "_")):
+                continue
+            if s.isDirectory():
+                todo += fs.listStatus(s.getPath())
+            elif s.getLen():
                 found.append(s.getPath().toString())
     return sorted(found)
 

@@ -44,9 +44,10 @@ def write_batch(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_if_absent(df: DataFrame, path: str) -> bool:
-    """Write unless output exists; True when written (stage skip flag)."""
-    spark = df.sparkSession
-    if path_exists(spark, path):
+    """Write unless the finished output exists; True when written (stage skip
+    flag). A folder without the mark that a finished job leaves is what a
+    killed job left, and is written anew."""
+    if path_exists(df.sparkSession, f"{path.rstrip('/')}/_SUCCESS"):
         return False
-    df.write.mode("ignore").parquet(path)
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     return True

@@ -156,3 +156,33 @@ def test_split_raises_on_bad_date(spark):
     rows = [(1, "u", T0, 1.0), (2, "u", None, 1.0)]
     with pytest.raises(ValueError):
         temporal_split(_frame(spark, rows))
+
+
+def _window_sums(spark, amounts):
+    from tallyhawk.operators.features import add_velocity_features
+    rows = [(i, "u", i * 60, a) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "_id int, user_id string, s long, send_amount double")
+    df = df.withColumn("_t", F.timestamp_seconds("s"))
+    got = add_velocity_features(df, windows=(1,)).orderBy("_id").collect()
+    return [(r["user_id_txn_1h"], r["user_id_amt_1h"]) for r in got]
+
+
+def test_velocity_keeps_every_amount(spark):
+    """Large, tiny, negative and infinite amounts; NaN and null are no amounts."""
+    import math
+    import random
+    rng = random.Random(4)
+    amounts = [1e20, 1e-9, 3.5, -1e20, 2e25, 1e-12, None, float("nan"), 0.1, -7.25, 1e15 + 0.5, *(
+        rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(-9, 26) for _ in range(150))]
+    known = [a if a is not None and a == a else None for a in amounts]
+    for i, (n, s) in enumerate(_window_sums(spark, amounts)):
+        inside = [a for a in known[max(0, i - 60):i] if a is not None]
+        assert n == len(inside)
+        size = max(map(abs, inside), default=0.0)
+        assert s == pytest.approx(math.fsum(inside), rel=1e-12, abs=size * 1e-15)
+    # what left the frame leaves no trace, however large it was
+    assert _window_sums(spark, [1e25, *[0.0] * 60, 1e-9, 1.0])[-1] == (60, pytest.approx(1e-9, rel=1e-8))
+    inf = float("inf")
+    assert [s for _, s in _window_sums(spark, [inf, 1.0, -1e30, 2.0])][1:3] == [inf, inf]
+    assert math.isnan(_window_sums(spark, [inf, 1.0, -1e30, 2.0])[3][1])
+    assert _window_sums(spark, [inf, *[0.0] * 60, 2.0, 1.0])[-1] == (60, 2.0)
