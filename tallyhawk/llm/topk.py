@@ -27,8 +27,9 @@ from tallyhawk.llm.common import saved
 
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 4096, 2048, 32
 SCALE = 256
-#: scaled components are held within this, so that every score is exact
-LIMIT = 1 << 25
+#: scaled components are held within this, scores within what a long holds
+LIMIT = 1 << 62
+LOWEST, HIGHEST = -1 << 63, (1 << 63) - 1
 
 
 def build(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF_ROWS) -> dict[str, np.ndarray]:
@@ -99,25 +100,30 @@ def _walk(k: int):
             tree = dict(np.load(io.BytesIO(trees["tree"].iloc[0])))
             dim = int(queries["dim"].iloc[0])
             q = _matrix(queries["raw"], dim)
+            ids, kths = queries["id"].to_numpy(), queries["kth"].to_numpy()
             largest = int(max(np.abs(tree["points"]).max(initial=0), 1)) * int(max(np.abs(q).max(initial=0), 1))
-            if largest * max(dim, 1) < 1 << 53:  # exact in doubles, which multiply faster
-                q = q.astype(np.float64)
-                tree |= {n: tree[n].astype(np.float64) for n in ("points", "low", "high")}
+            # exact in doubles, which multiply faster, or in 64 bits, or in numbers of any size
+            if largest * max(dim, 1) < 1 << 63:
+                kind = np.float64 if largest * max(dim, 1) < 1 << 53 else np.int64
+            else:
+                kind = object
+            q = q.astype(kind)
+            tree |= {n: tree[n].astype(kind) for n in ("points", "low", "high")}
             for at in range(0, len(q), 256):
                 part = q[at:at + 256]
                 bounds = np.maximum(part, 0) @ tree["high"].T + np.minimum(part, 0) @ tree["low"].T
                 for i in range(len(part)):
-                    row = queries.iloc[at + i]
-                    kth = float("-inf") if pd.isna(row["kth"]) else int(row["kth"])
-                    found += [(int(row["id"]), i2, int(s)) for s, i2 in
-                              search(tree, part[i], int(row["id"]), k, kth, bounds[i])]
+                    own, kth = int(ids[at + i]), int(kths[at + i])
+                    kth = float("-inf") if kth == LOWEST else kth
+                    found += [(own, i2, min(max(int(s), LOWEST), HIGHEST)) for s, i2 in
+                              search(tree, part[i], own, k, kth, bounds[i])]
         return pd.DataFrame(found, columns=["query_id", "id", "score"]).astype("int64")
     return run
 
 
 def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, dim, raw): floor(SCALE * x) of every component as 64-bit numbers;
-    only rows that can take part, one per id."""
+    only rows that can take part."""
     def run(batches):
         for batch in batches:
             ids, dims, raws = [], [], []
@@ -129,12 +135,12 @@ def scaled(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                     continue
                 ids.append(i)
                 dims.append(len(x))
-                raws.append(np.clip(np.floor(SCALE * x), -LIMIT, LIMIT).astype(np.int64).tobytes())
+                with np.errstate(over="ignore"):
+                    raws.append(np.clip(np.floor(SCALE * x), -LIMIT, LIMIT).astype(np.int64).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
                                               pa.array(raws, pa.binary())], ["id", "dim", "raw"])
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    return (rows.mapInArrow(run, "id long, dim int, raw binary")
-            .groupBy("id").agg(F.min(F.struct("dim", "raw")).alias("v")).select("id", "v.dim", "v.raw"))
+    return rows.mapInArrow(run, "id long, dim int, raw binary")
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -144,18 +150,20 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     ``queries``: condition on ``id`` that tells which rows are queries. Ties
     go to the smaller id; with fewer than k other rows all are returned. Null
     ids and vectors that are null or hold null or non-finite components take
-    no part; vectors of other lengths than the query's are no candidates;
-    scaled components beyond 2^25 are held there; of rows that repeat an id the
-    smallest vector counts. No rows give no rows.
+    no part; vectors of other lengths than the query's are no candidates. Rows
+    that repeat an id are all candidates, none of them for each other; where a
+    query's id repeats, the best of all its rows are returned. Scores are exact;
+    a scaled component beyond 2^62 is held there, and a score beyond the range
+    of a long at its end. No rows give no rows.
     """
     rows = saved(scaled(vectors, id_col, vec_col).withColumn("asks", queries), "points")
     sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"),
                                     F.ceil(F.sum(F.col("asks").cast("int")) / block_rows).alias("blocks"))
     sizes = sizes.where("blocks > 0")  # a row per vector length
     spread = rows.join(sizes, "dim")
-    trees = saved(spread.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards"))).select("id", "dim", "raw", "shard")
+    trees = saved(spread.withColumn("shard", F.pmod(F.xxhash64("id", "raw"), F.col("shards"))).select("id", "dim", "raw", "shard")
                   .groupBy("dim", "shard").applyInPandas(_planted, "dim int, shard long, tree binary"), "trees")
-    asked = (spread.where("asks").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
+    asked = (spread.where("asks").withColumn("block", F.pmod(F.xxhash64("id", "raw", F.lit(1)), F.col("blocks")))
              .withColumn("home", F.col("block") % F.col("shards")))
     cells = trees.join(sizes, "dim").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     first = cells["shard"] == cells["block"] % cells["shards"]
@@ -166,9 +174,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
             queries.select(*key, "id", "raw", "kth").groupBy(*key))
             .applyInPandas(_walk(k), "query_id long, id long, score long"), "found")
 
-    near = walked(cells.where(first), asked.withColumn("shard", F.col("home")).withColumn("kth", F.lit(None).cast("long")))
+    near = walked(cells.where(first), asked.withColumn("shard", F.col("home")).withColumn("kth", F.lit(LOWEST)))
     kth = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-    others = (asked.join(kth.withColumnRenamed("query_id", "id"), "id", "left")
+    others = (asked.join(kth.withColumnRenamed("query_id", "id"), "id", "left").fillna({"kth": LOWEST})
               .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
               .where("shard <> home"))
     far = walked(cells.where(~first), others)

@@ -128,6 +128,21 @@ def test_top_k_odd(spark):
     assert top_k(spark.createDataFrame([], SCHEMA), F.col("id") % 10 == 0).count() == 0
 
 
+def test_top_k_large_and_repeated(spark):
+    """Scores of large components are exact, in doubles, in 64 bits and beyond; repeated ids are all candidates."""
+    rows = [(0, [1.0, 0.0]), (1, [200000.0, 0.0]), (2, [400000.0, 0.0]), (3, [1e12, 1.0]), (4, [2e12, 0.5]), (5, [-3e9, 0.0]),
+            (5, [0.25, 0.0]), (5, [4.0, 0.0]), (10, [3e15, 0.0]), (10, [1.0, 1.0]), (20, [1e300, 0.0])]
+    df = spark.createDataFrame([(i, v, 0, "x", 1, 2) for i, v in rows], SCHEMA.replace("float", "double"))
+    got = sorted(tuple(r) for r in top_k(df, F.col("id") % 10 == 0, k=9, shard_rows=3, block_rows=2).collect())
+    held = [(i, [min(int(np.floor(256 * x)), 1 << 62) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 10, 20):
+        found = [(-min(max(sum(a * b for a, b in zip(x, y)), -1 << 63), (1 << 63) - 1), c)
+                 for i, x in held if i == q for c, y in held if c != q]
+        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(found)[:9])]
+    assert got == sorted(want)
+
+
 def test_tree_cuts_off():
     rng = np.random.default_rng(3)
     points = np.floor(rng.normal(size=(2000, 4)) * 256).astype(np.int64)
