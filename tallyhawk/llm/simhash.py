@@ -119,13 +119,14 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
 
     Equal fingerprints are one node, so exact copies cost nothing more. Null
     and empty texts have fingerprint zero and link like any other. Rows
-    without an id are in no one's component unless another row shares their
-    fingerprint; repeated rows are rows like any other. No rows give no rows.
+    without an id link like any other but name no component, which is null if
+    none of its rows has an id; repeated rows are rows like any other. No rows
+    give no rows.
     """
     if max_distance != 2:
         raise ValueError("the grid is made for a bit distance of 2")
     rows = saved(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = rows.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("rep"))
+    nodes = rows.groupBy("fp").agg(F.min("id").alias("rep"))
     joined = connected_components(links(nodes.select("fp")))
     nodes = nodes.join(joined.select(F.col("node").alias("fp"), F.col("component").alias("root")), "fp", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "fp"))
@@ -135,14 +136,16 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group that with the smallest id.
-    Rows without an id stay. Where ids repeat, of equal rows (id and text) one
-    stays; rows that share only the id all stay."""
+    """The rows of ``docs`` that stay: of each group the one with the smallest
+    id, null ids last; of rows that share it one by the hash of the row."""
     groups = saved(simhash_groups(docs, id_col=id_col, **options), "simhash-groups")
-    (name,) = fresh(docs, "keep_id")
-    named = groups.where(F.col("id").isNotNull())
-    kept = named.where("id = component").select(F.col("id").alias(name)).distinct()
-    out = docs.join(kept, docs[id_col] == F.col(name), "left_semi")
-    if named.groupBy("id").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_col, options.get("text_col", "text")])
-    return out.unionByName(docs.where(F.col(id_col).isNull()))
+    uid, best = fresh(docs, "uid", "best")
+    if not groups.groupBy("id").count().where("count > 1 or id is null").limit(1).count():
+        kept = groups.where("id = component").select(F.col("id").alias(uid))
+        return docs.join(kept, docs[id_col] == F.col(uid), "left_semi")
+    rows = saved(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered-docs")
+    groups = simhash_groups(rows, id_col=uid, **options).select(F.col("id").alias(uid), "group")
+    rank = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in docs.columns]), F.col(uid).alias("uid"))
+    kept = (rows.select(uid, rank.alias(best)).join(groups, uid).groupBy("group").agg(F.min(best).alias(best))
+            .select(F.col(f"{best}.uid").alias(uid)))
+    return rows.join(kept, uid, "left_semi").select(*docs.columns)

@@ -116,7 +116,19 @@ def test_groups_of_documents(spark):
     kept = one_per_group(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect()) == sorted([
-        (3, "same  TEXT here now"), (7, " \n"), (11, long + " w0"), (20, "quite another text"),
-        (-1, "same text here now"), (-1, "alone among the words")])
+        (3, "same  TEXT here now"), (7, " \n"), (11, long + " w0"), (20, "quite another text"), (-1, "alone among the words")])
+    twice = spark.createDataFrame([(4, "one text that is here"), (4, "one text that is here"), (4, "a wholly different text"),
+                                   (None, "one text that is here")], "doc_id long, text string")
+    assert sorted(r["text"] for r in one_per_group(twice).collect()) == ["a wholly different text", "one text that is here"]
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash_groups(empty).count() == 0 and one_per_group(empty).count() == 0
+
+
+def test_links_through_rows_without_an_id(spark, monkeypatch):
+    """0 and 15 differ in four bits; only the fingerprint between them, of a row without an id, links them."""
+    from tallyhawk.llm import simhash
+    rows = [(1, 0), (9, 15), (None, 3), (None, 0x7FFF << 40)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs)
+    docs = spark.createDataFrame(rows, "id long, fp long")
+    got = {(r["id"], r["fp"]): r["component"] for r in simhash_groups(docs).collect()}
+    assert got == {(1, 0): 1, (9, 15): 1, (None, 3): 1, (None, 0x7FFF << 40): None}
