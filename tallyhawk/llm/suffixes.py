@@ -36,8 +36,8 @@ from tallyhawk.llm.anchors import stretches, string_hashes
 from tallyhawk.llm.common import cut, fresh, saved
 
 LENGTH = 100
-#: bytes of text a task takes apart at once, and bytes of strings under one suffix array
-PIECE_BYTES, ARRAY_BYTES = 16 << 20, 1 << 20
+#: bytes of text a task takes apart at once, and bytes of sorted suffixes in one suffix array
+PIECE_BYTES, ARRAY_BYTES = 8 << 20, 24 << 20
 #: strings of one anchor that share a suffix array; larger buckets are dealt out
 BUCKET = 8192
 #: documents in the sample for frequent anchors, and share of them that makes an anchor frequent
@@ -188,8 +188,8 @@ _GROUPS = pa.schema([("length", pa.int64()), ("occurrences", pa.list_(_SPOT)), (
 def _arrays(length: int):
     """Rows (h, ord, start, n, s) sorted by h to maximal repeat groups (length,
     occurrences) and to the spans (ord, start, size) that they cover, joined
-    where they touch. Whole buckets are put under one suffix array until it
-    has ARRAY_BYTES."""
+    where they touch. Whole buckets are put under one suffix array until its
+    suffixes, as wide as the longest string, have ARRAY_BYTES."""
     def groups(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         sizes, flat, counts = [], [], []
         if len(rows) > 1:
@@ -218,17 +218,18 @@ def _arrays(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple] = []  # whole buckets
         bucket: list[tuple] = []
-        held = 0
+        count = width = 0  # of the suffixes of the buckets that are ready
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket and bucket[0][0] != row[0]:
                     if len(bucket) > 1:
+                        more, wide = sum(r[3] for r in bucket), max(len(r[4]) for r in bucket)
+                        if ready and (count + more) * max(width, wide) > ARRAY_BYTES:
+                            yield from groups(ready)
+                            ready, count, width = [], 0, 0
                         ready += bucket
-                        held += sum(len(r[4]) for r in bucket)
+                        count, width = count + more, max(width, wide)
                     bucket = []
-                    if held >= ARRAY_BYTES:
-                        yield from groups(ready)
-                        ready, held = [], 0
                 bucket.append(row)
         yield from groups(ready + bucket)
     return run
