@@ -36,4 +36,4 @@ def ts_sql(expr: str) -> str:
 
 def load_all() -> None:
     from tallyhawk.plans import (queries_features, queries_labels, queries_metrics,  # noqa: F401
-                                 queries_prep, queries_sources, queries_gate, queries_ml)
+                                 queries_prep, queries_sources, queries_gate, queries_ml, queries_streams)
