@@ -217,19 +217,26 @@ def assemble(transfers: DataFrame, users: DataFrame | None, recipients: DataFram
     enrich -> time -> derived -> velocity -> history.
     """
     timed = derive_time_features(transfers)
-    time_cols = timed.columns[len(transfers.columns):]
     base = add_recipient_history(add_velocity_features(timed, key="user_id"))
-    windowed = base.columns[len(timed.columns):]
+    df = assemble_windowed(base, transfers.columns, users, recipients, labels)
+    if keep_ids:
+        return df
+    return df.drop(*[c for c in IDENTITY_DROP if c in df.columns])
+
+
+def assemble_windowed(base: DataFrame, raw: list[str], users: DataFrame | None, recipients: DataFrame | None,
+                      labels) -> DataFrame:
+    """The training table, ids kept, of transfers (columns ``raw``) that
+    already have their time, velocity and history columns."""
+    known = set(raw)
+    moved = [c for c in base.columns if c not in known]
     df = enrich_transfers(base, users, recipients, labels)
     joined = df.columns
     df = add_account_ages(df)
     df = derive_user_features(df)
     df = derive_transfer_features(df)
     df = normalize_description_code(df)
-    kept, moved = set(df.columns), set(time_cols) | set(windowed)
+    kept = set(df.columns)
+    times = [c for c in (TIME, "hour", "weekday") if c in moved]
     derived = [c for c in df.columns if c not in set(joined)]
-    order = [c for c in joined if c in kept and c not in moved] + time_cols + derived + windowed
-    df = df.select(*order)
-    if keep_ids:
-        return df
-    return df.drop(*[c for c in IDENTITY_DROP if c in df.columns])
+    return df.select(*[c for c in joined if c in kept and c not in moved], *times, *derived, *[c for c in moved if c not in times])

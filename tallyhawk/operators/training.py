@@ -58,6 +58,16 @@ def fit_frame(split_df: DataFrame, spw: float, train_sample: float | None = None
     return with_weights(train.unionByName(val), spw).withColumn("is_val", F.col("split") == "val")
 
 
+#: what stands for a missing value; a level of its own, as the trees know no missing
+MISSING = -999.0
+
+
+def filled(df: DataFrame, features: list[str], missing: float = MISSING) -> DataFrame:
+    """The feature columns as doubles without null or NaN."""
+    value = lambda c: F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")
+    return df.withColumns({c: F.coalesce(F.nanvl(value(c), F.lit(missing)), F.lit(missing)) for c in features})
+
+
 def raw_scores(model, df: DataFrame, keep: list[str]) -> DataFrame:
     return model.transform(df).select(*keep, vector_to_array("probability").getItem(1).alias("score"))
 
@@ -107,6 +117,7 @@ class TrainResult:
     calibrator: object
     candidates: dict
     threshold: float
+    params: dict
     report: DataFrame
     reliability: DataFrame
     cost_grid: DataFrame
@@ -121,7 +132,7 @@ def train_report(split_df: DataFrame, features: list[str], spw: float, keep: lis
     best = {"max_depth": 4, "step_size": 0.1}
     if tune:
         grid = tune_grid(split_df, features, spw, iters=iters)
-        best = max(grid, key=lambda r: r["val_pr_auc"])
+        best = {k: v for k, v in max(grid, key=lambda r: r["val_pr_auc"]).items() if k != "val_pr_auc"}
     fit_df = fit_frame(split_df, spw)
     cands = {"gbt": gbt(features, best["max_depth"], best["step_size"], iters).fit(fit_df),
              "forest": forest(features).fit(fit_df.filter(~F.col("is_val")))}
@@ -136,4 +147,5 @@ def train_report(split_df: DataFrame, features: list[str], spw: float, keep: lis
     ev = M.evaluate(test, t, fp_unit_cost=fp_unit_cost)
     report = ev.select(F.lit(winner).alias("winner"), F.lit(aps[winner]).alias("val_pr_auc"),
                        F.lit(str(fp_unit_cost)).alias("fp_unit_cost"), "*")
-    return TrainResult(winner, model, cal, aps, t, report, M.reliability_table(test), M.cost_grid(test))
+    return TrainResult(winner, model, cal, aps, t, best if winner == "gbt" else {}, report, M.reliability_table(test),
+                       M.cost_grid(test))

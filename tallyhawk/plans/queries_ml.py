@@ -3,10 +3,15 @@ population (features: amount, hour, segment, 24h velocity)."""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyhawk import contract as K
 from tallyhawk.functions.columns import hour_of
+from tallyhawk.operators import bundle as BU
+from tallyhawk.operators import contributions as CO
 from tallyhawk.operators import policy as PO
 from tallyhawk.operators import prep as PR
 from tallyhawk.operators import scoring as SC
@@ -16,10 +21,9 @@ from tallyhawk.plans.catalog import query
 from tallyhawk.plans.oracle_views import with_views
 from tallyhawk.plans.queries_features import training_table
 from tallyhawk.plans.queries_sources import TOP_KEYS_SQL, docs
-from tallyhawk.session import materialize, scratch_path
+from tallyhawk.session import ensure_checkpoint_dir, materialize
 from tallyhawk.sources import fixtures as FX
 
-MISSING = -999.0
 ID_COLUMNS = ["_id", "user_id", "recipient_id", "_t", "partner_reference", "partner_txn_id"]
 FEATURES = ["amount", "hour", "segment_code", "user_id_txn_24h", "user_id_amt_24h"]
 
@@ -37,12 +41,10 @@ def ml_split(spark, sf_dir):
 
 
 def training_matrix(spark, sf_dir):
-    """(matrix, features): the assembled training table split, encoded by its
-    train part and fixed once; a missing value is its own level."""
+    """(matrix, features, state): the assembled training table split, encoded
+    by its train part and fixed once; a missing value is its own level."""
     state, m = PR.prepare_matrix(training_table(spark, sf_dir, keep_ids=True), exclude=ID_COLUMNS, time_col="_t")
-    features = state.feature_cols
-    filled = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(MISSING)), F.lit(MISSING)) for c in features}
-    return materialize(m.withColumns(filled)), features
+    return materialize(TR.filled(m, state.feature_cols)), state.feature_cols, state
 
 
 def _spw(split_df):
@@ -88,49 +90,92 @@ def calibrate_isotonic(spark, sf_dir):
     return TR.calibrated(m, cal, s.filter(F.col("split") == "test"), ["id", "y"])
 
 
-@query("train_report")
-def train_report(spark, sf_dir):
+def train_bundle(spark, sf_dir, path):
     """The whole run on the training table, with the cost of a wrongful block
-    measured from history; model, calibrator, reliability and cost grid of the
-    test part are written beside each other, the report is returned."""
-    m, features = training_matrix(spark, sf_dir)
+    measured from history. What scoring needs is written as the next bundle
+    under ``path``, reliability and cost grid of the test part beside it."""
+    m, features, state = training_matrix(spark, sf_dir)
     history = FX.scored(spark, sf_dir)
     churn = PO.churn_estimate(history, (F.col("y") == 0) & (F.col("score") >= 0.5))
     cost = PO.FalsePositiveCost.measured(churn)
     m = m.withColumn("fp_cost", cost.of(m, amount="amount"))
     r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost")
-    path = scratch_path(spark, "model")
-    r.model.write().overwrite().save(f"{path}/model")
-    r.calibrator.write().overwrite().save(f"{path}/calibrator")
-    r.reliability.write.parquet(f"{path}/reliability")
-    r.cost_grid.write.parquet(f"{path}/cost_grid")
-    return r.report
+    report = materialize(r.report)
+    kept = BU.Bundle(r.model, r.calibrator, state, features, r.threshold, {"winner": r.winner, **r.params},
+                     {**r.candidates, **{k: report.first()[k] for k in ("AUROC", "PR_AUC", "recall", "precision", "cost_per_million")}})
+    version = BU.save(spark, path, kept)
+    reports = f"{path}/reports/{version}-{uuid.uuid4().hex[:8]}"
+    r.reliability.write.parquet(f"{reports}/reliability")
+    r.cost_grid.write.parquet(f"{reports}/cost_grid")
+    return report
 
 
-def _fitted(spark, sf_dir):
-    s = ml_split(spark, sf_dir)
-    m = TR.gbt(FEATURES).fit(TR.fit_frame(s, _spw(s)))
-    return s, m, TR.calibrate(m, s)
+def bundle_folder(spark, sf_dir):
+    """Where the bundles of a data set lie, in the folder that all share."""
+    name = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark)}/bundles/{name}"
+
+
+def bundle_of(spark, sf_dir):
+    """The latest bundle of a data set; trained only where there is none yet."""
+    path = bundle_folder(spark, sf_dir)
+    if not BU.versions(spark, path):
+        train_bundle(spark, sf_dir, path)
+    return BU.load(spark, path)
+
+
+@query("train_report")
+def train_report(spark, sf_dir):
+    return train_bundle(spark, sf_dir, bundle_folder(spark, sf_dir))
 
 
 @query("score_table")
 def score_table(spark, sf_dir):
-    """Every transfer of the training table, scored by the model of its train part."""
-    s, features = training_matrix(spark, sf_dir)
-    m = TR.gbt(features).fit(TR.fit_frame(s, _spw(s)))
-    return SC.score_table(m, TR.calibrate(m, s), s, features, keep=["_id", "split"])
-
-
-@query("stream_score")
-def stream_score(spark, sf_dir):
-    from tallyhawk.streaming.jobs import stream_score as run
-    s, m, cal = _fitted(spark, sf_dir)
-    src = scratch_path(spark, "score-in")
-    s.write.parquet(src)
-    sink, ckpt = scratch_path(spark, "score-out"), scratch_path(spark, "score-ckpt")
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", "1").parquet(src)
-    run(spark, stream, sink, ckpt, m, cal, FEATURES, keep=["id"])
-    return spark.read.parquet(sink)
+    """Every raw row of the training table, scored from the bundle."""
+    return bundle_of(spark, sf_dir).score(training_table(spark, sf_dir, keep_ids=True), keep=["_id"])
+
+
+@query("score_bundle", with_views("transfers_o") + """
+select _id, true as in_range, true as band_fits, true as flag_fits, true as coverage_fits from transfers_o""")
+def score_bundle(spark, sf_dir):
+    """What must hold for every score, whatever was trained."""
+    b = bundle_of(spark, sf_dir)
+    s = b.score(training_table(spark, sf_dir, keep_ids=True), keep=["_id"])
+    p = F.col("probability")
+    band = F.when(p >= 0.85, "Critical").when(p >= 0.5, "High").when(p >= 0.15, "Elevated").otherwise("Low")
+    return s.select("_id", p.between(0, 1).alias("in_range"), (F.col("risk_band") == band).alias("band_fits"),
+                    (F.col("flagged") == (p >= b.threshold)).alias("flag_fits"),
+                    ((F.col("features_expected") == len(b.features)) & F.col("features_provided").between(0, len(b.features))
+                     & (F.col("low_coverage") == (F.col("features_provided") / len(b.features) < K.MIN_FEATURE_COVERAGE)))
+                    .alias("coverage_fits"))
+
+
+def _explained(spark, sf_dir):
+    """(bundle, raw training rows encoded, with contributions and score)."""
+    b = bundle_of(spark, sf_dir)
+    m = materialize(b.matrix(training_table(spark, sf_dir, keep_ids=True), keep=["_id"]))
+    c = CO.contributions(b.model, m, b.features, keep=["_id", *b.features])
+    scored = SC.score_table(b.model, b.calibrator, m, b.features, keep=["_id"])
+    return b, c.join(scored.select("_id", "probability", "risk_band"), "_id"), m
+
+
+@query("tree_contributions", with_views("transfers_o") + "select _id, true as adds_up from transfers_o")
+def tree_contributions(spark, sf_dir):
+    """Base value plus contributions is the raw margin of the model that scores, on every row."""
+    b, rows, m = _explained(spark, sf_dir)
+    raw = b.model.transform(TR.filled(m, b.features)).select("_id", CO.margin(b.model).alias("margin"))
+    total = F.col("base_value") + F.aggregate("impacts", F.lit(0.0), lambda a, x: a + x)
+    return rows.join(raw, "_id").select("_id", (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"))
+
+
+@query("explain_scores")
+def explain_scores(spark, sf_dir):
+    """Score, band, top factors and text of every row, from the contributions of the model that scored it."""
+    b, rows, _ = _explained(spark, sf_dir)
+    values = {f: F.nullif(F.col(f).cast("double"), F.lit(TR.MISSING)) for f in b.features}
+    factors = SC.risk_factor_array(CO.by_name(b.features), values, k=3)
+    return rows.withColumn("factors", factors).select(
+        "_id", "probability", "risk_band", "factors", SC.explain_text(F.col("probability"), F.col("factors")).alias("explanation"))
 
 
 # --- explanations: linear contributions weight x (value - mean) ------------

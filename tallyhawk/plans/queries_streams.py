@@ -69,3 +69,22 @@ select _id, prior as prior_sends_to_recipient, cast(prior = 0 as bigint) as is_f
 from (select _id, row_number() over (partition by user_id, recipient_id order by txn_ts, _id) - 1 as prior from transfers_e) x""")
 def stream_prior_sends(spark, sf_dir):
     return _history(spark, sf_dir).select("_id", "prior_sends_to_recipient", "is_first_send_to_recipient")
+
+
+@query("stream_score", with_views("transfers_o") + "select _id, true as as_batch from transfers_o")
+def stream_score(spark, sf_dir):
+    """Raw transfers scored as they arrive get the scores that the batch path gives."""
+    from tallyhawk.plans.queries_features import training_table
+    from tallyhawk.plans.queries_ml import bundle_of
+    from tallyhawk.streaming.jobs import stream_score as run
+    bundle = bundle_of(spark, sf_dir)
+
+    def job(stream, sink, checkpoint):
+        run(stream, sink, checkpoint, lambda: bundle, lambda: FX.user_table(spark, sf_dir),
+            lambda: FX.recipient_table(spark, sf_dir), f"{HOURS_LATE} hours")
+    live = drained(FX.transfer_table(spark, sf_dir), "date", job)
+    want = bundle.score(training_table(spark, sf_dir, keep_ids=True), keep=["_id"])
+    both = live.join(want.select("_id", F.col("probability").alias("p"), F.col("risk_band").alias("b"),
+                                 F.col("features_provided").alias("n")), "_id", "full")
+    same = (F.abs(F.col("probability") - F.col("p")) < 1e-9) & (F.col("risk_band") == F.col("b")) & (F.col("features_provided") == F.col("n"))
+    return both.select("_id", F.coalesce(same, F.lit(False)).alias("as_batch"))

@@ -25,7 +25,7 @@ def test_rounds_are_the_library_default(spark, monkeypatch, query):
         raise Fitted
 
     monkeypatch.setattr(TR, "gbt", watched)
-    monkeypatch.setattr(Q, "training_matrix", lambda *_: (rows, ["amount"]))
+    monkeypatch.setattr(Q, "training_matrix", lambda *_: (rows, ["amount"], None))
     monkeypatch.setattr(Q.FX, "scored", lambda *_: None)
     monkeypatch.setattr(Q.PO, "churn_estimate", lambda *_: None)
     monkeypatch.setattr(Q.PO.FalsePositiveCost, "measured", classmethod(lambda cls, _: cls()))
