@@ -62,26 +62,34 @@ def latest_flag_verdict(flags: DataFrame, transfer: str = "transfer", action: st
     a null transfer and a missing date raise when the plan runs, so no label
     path can skip the checks.
     """
+    latest = packed_events(flags, transfer, action, date, seq).groupBy("_id").agg(F.max("_k").alias("_k"))
+    return unpacked_verdicts(latest)
+
+
+def packed_events(flags: DataFrame, transfer: str = "transfer", action: str = "action",
+                  date: str = "flag_ts", seq: str | None = "seq") -> DataFrame:
+    """(_id, _k): the order key of every event with an action; checks as in
+    :func:`latest_flag_verdict`. Without ``seq`` all sequence numbers are 0."""
     dec = "decimal(38,0)"
     stop = lambda what, kind: F.raise_error(F.lit(f"flag history: {what}")).cast(kind)
     us = F.coalesce(F.unix_micros(F.col(date).cast("timestamp")), stop("a row has no usable date", "bigint")).cast(dec)
     bit = (F.when(F.col(action) == "flag", F.lit(0)).when(F.col(action) == "unflag", F.lit(1))
            .otherwise(stop("an action is neither flag nor unflag", "int")).cast(dec))
     owner = F.coalesce(F.col(transfer), stop("a row has no transfer", flags.schema[transfer].dataType))
-    has_seq = bool(seq) and seq in flags.columns
-    if has_seq:
-        key = us * F.lit(_SHIFT).cast(dec) + F.coalesce(F.col(seq), F.lit(0)).cast(dec) * 10 + bit
-    else:
-        key = us * 10 + bit
-    f = flags.filter(F.col(action).isNotNull())
-    latest = f.groupBy(owner.alias("_id")).agg(F.max(key).alias("_k"))
+    number = F.coalesce(F.col(seq), F.lit(0)).cast(dec) if seq and seq in flags.columns else F.lit(0).cast(dec)
+    return flags.filter(F.col(action).isNotNull()).select(
+        owner.alias("_id"), (us * F.lit(_SHIFT).cast(dec) + number * 10 + bit).cast(dec).alias("_k"))
+
+
+def unpacked_verdicts(latest: DataFrame) -> DataFrame:
+    """_id, label, label_source, verdict_date of the greatest key per ``_id``."""
+    dec = "decimal(38,0)"
     k = F.col("_k")
-    scale = F.lit(_SHIFT).cast(dec) if has_seq else F.lit(10).cast(dec)
     label = F.when(F.pmod(k, F.lit(10).cast(dec)) == 0, F.lit(1)).otherwise(F.lit(0)).cast("int")
     return latest.select(
         "_id", label.alias("label"),
         F.when(label == 1, F.lit(K.SOURCE_UPHELD)).otherwise(F.lit(K.SOURCE_CLEARED)).alias("label_source"),
-        F.timestamp_micros(F.floor(k / scale).cast("bigint")).alias("verdict_date"))
+        F.timestamp_micros(F.floor(k / F.lit(_SHIFT).cast(dec)).cast("bigint")).alias("verdict_date"))
 
 
 def flag_history_audit(flags: DataFrame, transfer: str = "transfer") -> DataFrame:
@@ -166,13 +174,17 @@ def attach_labels(df: DataFrame, flags: DataFrame | None, chargebacks: DataFrame
     row of ``df`` is repeated or lost, and a wide frame takes its labels in
     the same joins instead of joining a separately built label table.
     """
-    out = df
-    if flags is not None:
-        latest = latest_flag_verdict(flags, **flag_names)
-        out = out.join(latest, "_id", "left")
+    return attach_verdicts(df, None if flags is None else latest_flag_verdict(flags, **flag_names), chargebacks, details)
+
+
+def attach_verdicts(df: DataFrame, latest: DataFrame | None, chargebacks: DataFrame | None = None,
+                    details: bool = False) -> DataFrame:
+    """As :func:`attach_labels`, from verdicts that are there already."""
+    if latest is not None:
+        out = df.join(latest, "_id", "left")
     else:
-        out = out.withColumns({"label": F.lit(None).cast("int"), "label_source": F.lit(None).cast("string"),
-                               "verdict_date": F.lit(None).cast("timestamp")})
+        out = df.withColumns({"label": F.lit(None).cast("int"), "label_source": F.lit(None).cast("string"),
+                              "verdict_date": F.lit(None).cast("timestamp")})
     if chargebacks is not None:
         hits = (chargebacks.filter(F.col("_id").isNotNull()).select("_id").distinct()
                            .withColumn("_cb", F.lit(True)))

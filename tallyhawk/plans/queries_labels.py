@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyhawk.operators import label_state as LS
 from tallyhawk.operators import labels as LB
-from tallyhawk.plans.catalog import query, ts_sql, ts_text
+from tallyhawk.plans.catalog import ORACLE, query, ts_sql, ts_text
 from tallyhawk.plans.oracle_views import CUTOFF, with_views
 from tallyhawk.plans.sql_blocks import LABEL_CTES, labels_over
+from tallyhawk.session import scratch_path
 from tallyhawk.sources import fixtures as FX
 
 LBL = with_views("transfers_o", "flags", "chargebacks_raw", extra=LABEL_CTES)
@@ -153,3 +155,38 @@ def label_source_crosstab(spark, sf_dir):
     x = d.groupBy("label_source").agg(F.count_if(F.col("label") == 0).alias("label_0"),
                                       F.count_if(F.col("label") == 1).alias("label_1"))
     return x.withColumn("one_to_one", ((F.col("label_0") > 0).cast("int") + (F.col("label_1") > 0).cast("int")) == 1)
+
+
+# --- labels kept by batches that come late and twice: the same tables as from whole histories
+
+def _by_batches(spark, sf_dir):
+    state = LS.LabelState(spark, scratch_path(spark, "label-state"))
+    flags, cb = FX.flags(spark, sf_dir), _parsed(spark, sf_dir)
+    late = F.col("flag_ts") >= F.lit("1996-01-01").cast("timestamp")
+    early = F.col("flag_ts") < F.lit("1994-01-01").cast("timestamp")
+    by_key = F.col("partner_reference").isNotNull()
+    state.add_flags(flags.filter(late), "flags-3")
+    state.add_chargebacks(cb.filter(by_key), "sheet-1")
+    state.add_flags(flags.filter(early), "flags-1")
+    state.add_flags(flags.filter(late), "flags-3")
+    state.add_chargebacks(cb.filter(~by_key), "sheet-2")
+    state.add_flags(flags.filter(~F.coalesce(late | early, F.lit(False))), "flags-2")
+    state.add_chargebacks(cb.filter(by_key), "sheet-1")
+    return state
+
+
+@query("incremental_labels", ORACLE["build_labels"])
+def incremental_labels(spark, sf_dir):
+    d = _by_batches(spark, sf_dir).labels(FX.transfer_table(spark, sf_dir))
+    return d.withColumn("verdict_date", ts_text("verdict_date"))
+
+
+@query("incremental_label_audit", ORACLE["label_audit"])
+def incremental_label_audit(spark, sf_dir):
+    r = LB.label_audit(_by_batches(spark, sf_dir).details(FX.transfer_table(spark, sf_dir)))
+    return r.withColumns({"fraud_rate": F.round("fraud_rate", 6), "coverage": F.round("coverage", 6)})
+
+
+@query("incremental_flag_audit", ORACLE["flag_history_audit"])
+def incremental_flag_audit(spark, sf_dir):
+    return _by_batches(spark, sf_dir).audit()

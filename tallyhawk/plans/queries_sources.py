@@ -24,6 +24,7 @@ from tallyhawk.session import scratch_path
 from tallyhawk.sources import documents as D
 from tallyhawk.sources import fixtures as FX
 from tallyhawk.sources import sheets as SH
+from tallyhawk.sources import commits as CM
 from tallyhawk.sources import tables as TB
 
 SALT = FX.FIXTURE_SALT
@@ -375,6 +376,18 @@ def sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("sink_batches", AMOUNTS)
+def sink_batches(spark, sf_dir):
+    """Batches with ids: one that comes twice is written once."""
+    path = scratch_path(spark, "committed")
+    t = FX.transfer_table(spark, sf_dir).select("_id", "send_amount", "date")
+    cut = F.lit(FX.EXPORT_CUTOFF).cast("timestamp")
+    old, new = t.filter(F.col("date") < cut).drop("date"), t.filter(~(F.col("date") < cut)).drop("date")
+    for name, batch in (("new", new), ("old", old), ("new", new)):
+        CM.commit_batch(batch, path, name)
+    return CM.read_committed(spark, path)
+
+
 @query("sink_if_absent", AMOUNTS)
 def sink_if_absent(spark, sf_dir):
     path = scratch_path(spark, "stage")
