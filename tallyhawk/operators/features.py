@@ -14,7 +14,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from tallyhawk import contract as K
 from tallyhawk.functions.columns import (US_PER_HOUR, days_between, epoch_us, hour_of,
                                          is_legacy_code, lenient_timestamp, strip_ws, weekday_of)
-from tallyhawk.operators.ranking import exclusive_prefix
+from tallyhawk.operators.ranking import exclusive_prefix, range_bucket
 from tallyhawk.operators.timeframes import Frame, with_time_frames
 
 TIME = "_t"
@@ -126,24 +126,20 @@ def add_velocity_features(df: DataFrame, key: str = "user_id", time_col: str = T
 
 
 def add_recipient_history(df: DataFrame, user: str = "user_id", recipient: str = "recipient_id",
-                          time_col: str = TIME, id_col: str = "_id",
-                          bucket_days: int = 30) -> DataFrame:
+                          time_col: str = TIME, id_col: str = "_id", buckets: int | None = None) -> DataFrame:
     """Prior sends by this user to this recipient (strictly earlier in
     (time nulls last, id) order) and the first-send flag.
 
-    Computed in two levels: counts per (user, recipient, 30-day bucket) are
-    prefix-summed, then numbered inside each bucket, so a hot pair is split
-    across its buckets instead of landing in one task.
+    Rows are put into ranges of (user, recipient, time, id), whose edges follow
+    the data, so a pair with very many rows, in one day or without a time,
+    spans as many ranges as it fills, as do rows without a user or a recipient.
+    Counts per pair and range are prefix-summed, then rows are numbered inside
+    their range.
     """
-    us = epoch_us(time_col)
-    d = df.withColumn("_hus", us)
-    # fixed-width time bucket; null time sorts last
-    width = bucket_days * 24 * US_PER_HOUR
-    d = d.withColumn("_hb", F.when(F.col("_hus").isNull(), F.lit(2**62))
-                     .otherwise(F.floor(F.col("_hus") / F.lit(width))).cast("bigint"))
-    out = exclusive_prefix(d, [F.col("_hus").asc_nulls_last(), F.col(id_col).asc()], "_hb",
-                           {"prior_sends_to_recipient": F.lit(1).cast("bigint")},
-                           keys=[user, recipient])
+    d = df.withColumn("_hus", epoch_us(time_col))
+    order = [F.col("_hus").asc_nulls_last(), F.col(id_col).asc()]
+    d = range_bucket(d, [F.col(user), F.col(recipient), *order], "_hb", buckets)
+    out = exclusive_prefix(d, order, "_hb", {"prior_sends_to_recipient": F.lit(1).cast("bigint")}, keys=[user, recipient])
     return (out.withColumn("is_first_send_to_recipient",
                            (F.col("prior_sends_to_recipient") == 0).cast("bigint"))
                .drop("_hus", "_hb"))
@@ -210,8 +206,8 @@ def assemble(transfers: DataFrame, users: DataFrame | None, recipients: DataFram
     dropped at the end.
 
     Velocity and history need only transfer columns, so they run before the
-    enrichment joins: the history's per-bucket count pass then re-reads the
-    narrow transfer projection instead of recomputing the joins and labels.
+    enrichment joins, and the history's ranges are fixed on the narrow transfer
+    projection instead of the joined rows.
     The left joins keep every transfer exactly once (deduplicated right
     sides), so the order does not change any value. Columns keep the order
     enrich -> time -> derived -> velocity -> history.

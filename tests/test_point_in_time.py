@@ -186,3 +186,24 @@ def test_velocity_keeps_every_amount(spark):
     assert [s for _, s in _window_sums(spark, [inf, 1.0, -1e30, 2.0])][1:3] == [inf, inf]
     assert math.isnan(_window_sums(spark, [inf, 1.0, -1e30, 2.0])[3][1])
     assert _window_sums(spark, [inf, *[0.0] * 60, 2.0, 1.0])[-1] == (60, 2.0)
+
+
+@pytest.mark.parametrize("kind", ["one pair", "no pair", "no time"])
+def test_history_of_a_hot_pair_is_spread(spark, kind):
+    """300,000 rows of one pair in one day, of null pairs, and without a time: numbered by many tasks, all right."""
+    n = 300_000
+    d = spark.range(n).select(
+        F.format_string("%07d", F.pmod(F.col("id") * 7919, F.lit(n))).alias("_id"),
+        F.lit(None if kind == "no pair" else "u").cast("string").alias("user_id"),
+        F.lit(None if kind == "no pair" else "r").cast("string").alias("recipient_id"),
+        (F.lit(None).cast("timestamp") if kind == "no time" else F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 86_000)).alias("_t"))
+    out = FT.add_recipient_history(d, buckets=16).withColumn("task", F.spark_partition_id())
+    order = Window.orderBy(F.col("_t").asc_nulls_last(), "_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < n / 2 and len(sizes) > 3
+    wrong = out.withColumn("want", F.row_number().over(order) - 1).where(F.col("want") != F.col("prior_sends_to_recipient"))
+    assert wrong.count() == 0 and out.where("is_first_send_to_recipient = 1").count() == 1
