@@ -95,8 +95,70 @@ def _plan(doc_type: str):
     return out
 
 
+#: wrappers of extended JSON that a value of a type may come in
+_NUMBERS = ("$numberDouble", "$numberLong", "$numberInt")
+_TEXTS = ("$oid", "$numberLong", "$numberInt", "$numberDouble", "$numberDecimal")
+
+
+def _ddl(types: dict[str, str]) -> str:
+    """A struct type with a member per dotted path."""
+    tree: dict = {}
+    for path, typ in types.items():
+        *above, last = path.split(".")
+        place = tree
+        for part in above:
+            place = place.setdefault(part, {})
+        place[last] = typ
+    show = lambda t: t if isinstance(t, str) else "struct<" + ", ".join(f"`{k}`: {show(v)}" for k, v in t.items()) + ">"
+    return show(tree)
+
+
+def _read_all(docs: DataFrame, doc: str, kinds: dict[str, str]) -> DataFrame:
+    """Columns ``_r0``, ``_r1``, ... with the values at the dotted paths of
+    ``kinds`` (path -> type), blank strings kept; as :func:`read_field`.
+
+    A document is looked at four times, not once per field and wrapper: as
+    what the contract expects, as wrapped values, and for dates as wrapped
+    numbers in two forms; each time as one struct with a member per path."""
+    wrapped, dated, millis = {}, {}, {}
+    for f, typ in kinds.items():
+        if typ == "string":
+            wrapped[f] = _ddl({w: "string" for w in (*_TEXTS, "$date")})
+            dated[f] = "struct<`$date`: struct<`$numberLong`: string>>"
+        elif typ in ("double", "bigint"):
+            wrapped[f] = _ddl(dict.fromkeys(_NUMBERS, typ))
+        elif typ == "timestamp":
+            wrapped[f] = "struct<`$date`: string>"
+            dated[f] = "struct<`$date`: struct<`$numberLong`: bigint>>"
+            millis[f] = "struct<`$date`: bigint>"
+    plain = {f: "string" if typ == "timestamp" else typ for f, typ in kinds.items()}
+    views = {"_plain": plain, "_wrapped": wrapped, "_dated": dated, "_millis": millis}
+    seen = docs.select(*[F.try_variant_get(F.col(doc), "$", _ddl(v)).alias(n) for n, v in views.items() if v])
+
+    def at(view: str, field: str, *more: str) -> Column:
+        c = F.col(view)
+        for part in (*field.split("."), *more):
+            c = c.getField(part)
+        return c
+
+    def value(f: str, typ: str) -> Column:
+        if typ == "string":
+            text = at("_plain", f)
+            # an object is a wrapper or no text at all; a text may begin with a brace too
+            opened = F.coalesce(*[at("_wrapped", f, w) for w in _TEXTS], at("_dated", f, "$date", "$numberLong"),
+                                at("_wrapped", f, "$date"), F.when(at("_wrapped", f).isNull(), text))
+            return F.when(text.startswith("{"), opened).otherwise(text)
+        if typ in ("double", "bigint"):
+            return F.coalesce(*[at("_wrapped", f, w) for w in _NUMBERS], at("_plain", f))
+        if typ == "timestamp":
+            return F.coalesce(F.timestamp_millis(at("_dated", f, "$date", "$numberLong")), F.timestamp_millis(at("_millis", f, "$date")),
+                              F.try_to_timestamp(at("_wrapped", f, "$date")), F.try_to_timestamp(at("_plain", f)))
+        return at("_plain", f)
+    return seen.select(*[value(f, typ).alias(f"_r{i}") for i, (f, typ) in enumerate(kinds.items())])
+
+
 def extract_collection(docs: DataFrame, doc_type: str, salt: str, doc: str = "doc") -> DataFrame:
-    """Contract projection in three stages - read each path once, normalise,
+    """Contract projection in stages - read each path once, normalise,
     then hash/derive - so no document value is looked up or normalised more
     than once per row (the optimizer keeps stages apart rather than
     duplicating non-trivial expressions)."""
@@ -105,19 +167,10 @@ def extract_collection(docs: DataFrame, doc_type: str, salt: str, doc: str = "do
     fields = list(dict.fromkeys([f for _c, f, _h in plan] + [a for al in canon.values() for a in al]))
     text_like = {f for _c, f, h in plan if h != "typed"} | {a for al in canon.values() for a in al}
     raw = {f: f"_r{i}" for i, f in enumerate(fields)}
-    # stage 0: each top-level member of the document once (null when absent,
-    # so every probe below on an absent field is a null check)
-    tops = list(dict.fromkeys(f.split(".")[0] for f in fields))
-    top_col = {t: f"_t{i}" for i, t in enumerate(tops)}
-    stage0 = docs.select(*[F.try_variant_get(F.col(doc), vpath(t), "variant").alias(top_col[t]) for t in tops])
-
-    def sub_read(f: str, typ: str | None, keep_blank: bool = False) -> Column:
-        head, *rest = f.split(".")
-        return read_field(top_col[head], ".".join(rest), typ or field_type(f), keep_blank=keep_blank,
-                          relative=True)
-
-    stage1 = stage0.select(*[(sub_read(f, "string", keep_blank=True) if f in text_like
-                              else sub_read(f, None)).alias(raw[f]) for f in fields])
+    inner = [f for f in fields if any(g.startswith(f"{f}.") for g in fields)]
+    if inner:
+        raise ValueError(f"contract fields that hold other contract fields: {inner}")
+    stage1 = _read_all(docs, doc, {f: "string" if f in text_like else field_type(f) for f in fields})
     # stage 2: blank -> null for text, normalised key text for hashing
     from tallyhawk.functions.columns import strip_ws
     s2 = {}

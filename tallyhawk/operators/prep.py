@@ -36,11 +36,13 @@ def temporal_split(df: DataFrame, test_frac: float = K.TEST_FRAC, val_frac: floa
     the table itself is compared with these two cuts where it lies. Rows that
     share time and id stay together."""
     d = df.withColumn("_sus", epoch_us(as_timestamp(df, time_col)))
-    st = d.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_sus").isNull()).alias("bad")).first()
-    if st["bad"]:
-        raise ValueError(f"{st['bad']} rows have an unparseable {time_col}; cannot order them.")
-    n_train, n_val, _ = split_sizes(st["n"], test_frac, val_frac)
-    first_val, first_test = row_at(d, ["_sus", id_col], [n_train, n_train + n_val])
+
+    def cuts(n: int, bad: int) -> list[int]:
+        if bad:
+            raise ValueError(f"{bad} rows have an unparseable {time_col}; cannot order them.")
+        n_train, n_val, _ = split_sizes(n, test_frac, val_frac)
+        return [n_train, n_train + n_val]
+    first_val, first_test = row_at(d, ["_sus", id_col], cuts)
     place = F.struct("_sus", id_col)
 
     def before(cut) -> Column:
@@ -77,6 +79,7 @@ class PrepState:
     levels: DataFrame
     kinds: dict[str, str] = field(default_factory=dict)
     n_unique: dict[str, int | None] = field(default_factory=dict)
+    _bounded: dict | None = None
 
     @property
     def feature_cols(self) -> list[str]:
@@ -84,6 +87,22 @@ class PrepState:
         cols += [f"{c}{K.FE_SUFFIX}" for c, k in self.kinds.items() if "frequency" in k]
         return sorted(set(cols))
 
+    def bounded(self) -> dict[str, tuple[list[str], list[float]]]:
+        """Per category column its levels in order and their frequencies (of a
+        column that has any): at most drop_original_above per column, so they
+        go into plans as literals."""
+        if self._bounded is None:
+            cols = [c for c, k in self.kinds.items() if k.startswith("category")]
+            freq = self.freq.select("col", "value", "freq")
+            rows = (self.levels.filter(F.col("col").isin(*cols)).join(freq, ["col", "value"], "left")
+                    .select("col", "idx", "value", "freq").collect()) if cols else []
+            found: dict[str, tuple[list[str], list[float]]] = {c: ([], []) for c in cols}
+            for r in sorted(rows, key=lambda r: (r["col"], r["idx"])):
+                found[r["col"]][0].append(r["value"])
+                found[r["col"]][1].append(-1.0 if r["freq"] is None else r["freq"])
+            self._bounded = found
+        return self._bounded
+
     def save(self, path: str) -> None:
         self.plan.write.mode("overwrite").parquet(f"{path}/plan")
         self.freq.write.mode("overwrite").parquet(f"{path}/freq")
@@ -118,8 +137,8 @@ def fit(train: DataFrame, exclude: list[str] | None = None, freq_threshold: int
     from tallyhawk.session import materialize
     counts = (materialize(_melt(train, text).groupBy("col", "value").agg(F.count(F.lit(1)).alias("_c"))) if text
               else spark.createDataFrame([], "col string, value string, _c long"))
-    totals = counts.groupBy("col").agg(F.count(F.lit(1)).alias("_nd"), F.sum("_c").alias("_t"))
-    distinct = {r["col"]: r["_nd"] for r in totals.collect()}      # one row per column
+    totals = counts.groupBy("col").agg(F.count(F.lit(1)).alias("_nd"), F.sum("_c").alias("_t")).collect()      # one row per column
+    distinct = {r["col"]: r["_nd"] for r in totals}
     kinds, nuniq, rows = {}, {}, []
     for f in fields:
         c = f.name
@@ -144,12 +163,15 @@ def fit(train: DataFrame, exclude: list[str] | None = None, freq_threshold: int
 
     freq_cols = [c for c, k in kinds.items() if "frequency" in k]
     cat_cols = [c for c, k in kinds.items() if k.startswith("category")]
-    freq = (counts.filter(F.col("col").isin(*freq_cols)).join(F.broadcast(totals), "col")    # a row per column
-            .select("col", "value", (F.col("_c") / F.col("_t")).cast("float").alias("freq")))
+    total = F.lit(None).cast("long")
+    for r in totals:
+        total = F.when(F.col("col") == r["col"], F.lit(r["_t"])).otherwise(total)
+    freq = (counts.filter(F.col("col").isin(*freq_cols))
+            .select("col", "value", (F.col("_c") / total).cast("float").alias("freq")))
     # at most drop_original_above levels per column
     w = Window.partitionBy("col").orderBy("value")
-    levels = materialize(counts.filter(F.col("col").isin(*cat_cols))
-                         .select("col", "value", (F.row_number().over(w) - 1).cast("int").alias("idx")))
+    levels = (counts.filter(F.col("col").isin(*cat_cols))
+              .select("col", "value", (F.row_number().over(w) - 1).cast("int").alias("idx")))
     return PrepState(plan, freq, levels, kinds, nuniq)
 
 
@@ -167,26 +189,27 @@ def transform(state: PrepState, df: DataFrame, keep: list[str] | None = None) ->
         raise RuntimeError("transform called before fit")
     out = df
     feats = {}
+    bounded = state.bounded()
     for c, kind in state.kinds.items():
         present = c in df.columns
-        if "frequency" in kind:
+        text = F.col(c).cast("string") if present else F.lit(None).cast("string")
+        if kind.startswith("category"):
+            levels, freqs = bounded[c]
+            at = F.array_position(F.lit(levels).cast("array<string>"), text) - 1     # -1: unseen
+            feats[c] = F.when(at >= 0, at).cast("int")
+            if "frequency" in kind:
+                freq = F.get(F.lit(freqs).cast("array<float>"), at.cast("int"))
+                feats[f"{c}{K.FE_SUFFIX}"] = F.coalesce(F.when(at >= 0, freq), F.lit(-1.0).cast("float"))
+        elif kind == "frequency":
             name = f"{c}{K.FE_SUFFIX}"
             if present:
+                # as many values as the data has: a join, whose strategy the runtime sizes decide
                 m = state.freq.filter(F.col("col") == c).select(F.col("value").alias(f"_fv_{c}"),
                                                                  F.col("freq").alias(f"_ff_{c}"))
                 out = out.join(m, out[c].cast("string") == F.col(f"_fv_{c}"), "left")
                 feats[name] = F.coalesce(F.col(f"_ff_{c}"), F.lit(-1.0).cast("float"))
             else:
                 feats[name] = F.lit(-1.0).cast("float")
-        if kind.startswith("category"):
-            if present:
-                lv = state.levels.filter(F.col("col") == c).select(F.col("value").alias(f"_lv_{c}"),
-                                                                    F.col("idx").alias(f"_li_{c}"))
-                # at most drop_original_above levels: a bounded broadcast
-                out = out.join(F.broadcast(lv), out[c].cast("string") == F.col(f"_lv_{c}"), "left")
-                feats[c] = F.col(f"_li_{c}")
-            else:
-                feats[c] = F.lit(None).cast("int")
         elif kind == "boolean":
             feats[c] = F.col(c).cast("int") if present else F.lit(None).cast("int")
         elif kind == "numeric":

@@ -11,6 +11,8 @@ bucket) and a hot key is spread over its buckets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,25 +67,28 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "_rank", buckets:
     return exclusive_prefix(d, order, "_bk", {out: F.lit(1).cast("bigint")}).drop("_bk")
 
 
-def row_at(df: DataFrame, order: list[str], positions: list[int], buckets: int | None = None) -> list:
+def row_at(df: DataFrame, order: list[str], positions: list[int] | Callable[[int, int], list[int]],
+           buckets: int | None = None) -> list:
     """The rows (columns ``order`` only) at 0-based positions of the ascending
-    order of those columns, null for a position past the end. Only these
-    columns are shuffled; one count per bucket and one row per position come
-    back, and the search inside a bucket sees that bucket alone."""
+    order of those columns, null for a position past the end. ``positions``
+    may be a function of the number of rows and of those without a first
+    column. Only these columns are shuffled; one count per bucket and one row
+    per position come back, and the search inside buckets is one job that sees
+    no other bucket."""
     d = range_bucket(df.select(*order), [F.col(c).asc() for c in order], "_bk", buckets)
-    sizes = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("n")).orderBy("_bk").collect()
-    found = []
-    for position in positions:
-        before, hit = 0, None
-        for r in sizes:
-            if before <= position < before + r["n"]:
-                hit = r["_bk"]
-                break
-            before += r["n"]
-        if hit is None:
-            found.append(None)
-            continue
-        nth = F.row_number().over(Window.partitionBy("_bk").orderBy(*order)) - 1
-        inside = d.filter(F.col("_bk") == hit).withColumn("_nth", nth)
-        found.append(inside.filter(F.col("_nth") == position - before).select(*order).first())
-    return found
+    sizes = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(order[0]).isNull()).alias("bad")).orderBy("_bk").collect()
+    if callable(positions):
+        positions = positions(sum(r["n"] for r in sizes), sum(r["bad"] for r in sizes))
+    wanted, before = {}, 0
+    for r in sizes:
+        wanted.update({p: (r["_bk"], p - before) for p in positions if before <= p < before + r["n"]})
+        before += r["n"]
+    if not wanted:
+        return [None] * len(positions)
+    nth = F.row_number().over(Window.partitionBy("_bk").orderBy(*order)) - 1
+    inside = d.filter(F.col("_bk").isin(*{b for b, _ in wanted.values()})).withColumn("_nth", nth)
+    hit = F.lit(False)
+    for b, n in set(wanted.values()):
+        hit = hit | ((F.col("_bk") == b) & (F.col("_nth") == n))
+    found = {(r["_bk"], r["_nth"]): r for r in inside.filter(hit).collect()}
+    return [found.get(wanted.get(p)) for p in positions]
