@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.functions.columns import pseudonym
 from tallyhawk.operators import gate as G
+from tallyhawk.operators import labels as LB
 from tallyhawk.plans.catalog import query
 from tallyhawk.plans.queries_features import TRAINING_SQL, training_table
 from tallyhawk.plans.queries_labels import LBL
@@ -77,6 +78,24 @@ def gate_hash_consistency(spark, sf_dir):
              .join(checks.withColumn("_o", one), "_o").drop("_o"))
 
 
+@query("gate_hash_agreement", LBL + """
+select (select count(distinct partner_reference) from cb) as sheet_references,
+       (select count(distinct partner_reference) from cb where partner_reference in (select partner_reference from tk)) as agreeing_references,
+       (select count(distinct partner_txn_id) from cb) as sheet_transactions,
+       (select count(distinct partner_txn_id) from cb where partner_txn_id in (select partner_txn_id from tk)) as agreeing_transactions""")
+def gate_hash_agreement(spark, sf_dir):
+    """Keys hashed by the extractor from documents and keys hashed from the
+    partner's sheet, which spells them with blanks and in another case, meet."""
+    extracted = X.extract_collection(docs(spark, sf_dir), "transfer", FX.FIXTURE_SALT)
+    sheet = LB.parse_chargebacks(FX.chargebacks_raw(spark, sf_dir), FX.FIXTURE_SALT)
+    found = []
+    for key, name in (("partner_reference", "references"), ("partner_txn_id", "transactions")):
+        known = extracted.select(F.col(key).alias("k")).where("k is not null").distinct().withColumn("there", F.lit(1))
+        found.append(sheet.select(F.col(key).alias("k")).where("k is not null").distinct().join(known, "k", "left")
+                     .agg(F.count(F.lit(1)).alias(f"sheet_{name}"), F.count("there").alias(f"agreeing_{name}")))
+    return found[0].withColumn("_one", F.lit(1)).join(found[1].withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 # FIXED VALUES: sentinel patterns for the cell scan (identity number, e-mail).
 CELL_PATTERNS = {
     "ssn_like": "(^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}([^0-9]|$)",
@@ -162,3 +181,17 @@ def stream_extract(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     run(spark, src, sink, ckpt, "transfer", FX.FIXTURE_SALT)
     return textualise(spark.read.parquet(sink))
+
+
+@query("stream_ingest", extract_sql("transfer"))
+def stream_ingest(spark, sf_dir):
+    """As stream_extract, from files that are delivered twice and hold broken lines."""
+    from tallyhawk.sources.commits import read_committed
+    from tallyhawk.streaming.jobs import stream_ingest as run
+    src, table, bad, ckpt = (scratch_path(spark, f"ingest-{n}") for n in ("src", "table", "bad", "ckpt"))
+    docs = D.transfer_documents(spark, sf_dir)
+    broken = docs.limit(1).select(F.lit('{"cut": ').alias("json"))
+    for _ in range(2):
+        docs.unionByName(broken).write.mode("append").text(src)
+        run(spark, src, table, bad, ckpt, "transfer", FX.FIXTURE_SALT, max_files_per_trigger=64)
+    return textualise(read_committed(spark, table))
