@@ -34,9 +34,11 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
 
 
-def gbt(features: list[str], max_depth: int = 4, step: float = 0.1, iters: int = 60) -> Pipeline:
-    clf = GBTClassifier(featuresCol="features", labelCol="y", weightCol="w", maxDepth=max_depth,
-                        stepSize=step, maxIter=iters, validationIndicatorCol="is_val", seed=SEED)
+def gbt(features: list[str], max_depth: int = 4, step: float = 0.1, iters: int = 60, subsample: float = 1.0,
+        feature_subset: str = "all", min_leaf: int = 1) -> Pipeline:
+    clf = GBTClassifier(featuresCol="features", labelCol="y", weightCol="w", maxDepth=max_depth, stepSize=step,
+                        maxIter=iters, validationIndicatorCol="is_val", seed=SEED, subsamplingRate=subsample,
+                        featureSubsetStrategy=feature_subset, minInstancesPerNode=min_leaf)
     return Pipeline(stages=[_assembler(features), clf])
 
 
@@ -124,17 +126,22 @@ class TrainResult:
 
 
 def train_report(split_df: DataFrame, features: list[str], spw: float, keep: list[str],
-                 fp_unit_cost: float | str = 25.0, tune: bool = True, iters: int = 60) -> TrainResult:
+                 fp_unit_cost: float | str = 25.0, tune: bool = True, iters: int = 60,
+                 params: dict | None = None) -> TrainResult:
     """Fit the candidates on train, choose by average precision on val,
     calibrate and set the threshold there, then evaluate once on test.
     ``fp_unit_cost``: a figure or the name of a column with a cost per row.
-    ``split_df`` is read by every fit: pass a checkpointed frame."""
+    ``params``: parameters of the boosted trees that a search has found, in
+    place of the grid. ``split_df`` is read by every fit: pass a checkpointed
+    frame."""
     best = {"max_depth": 4, "step_size": 0.1}
-    if tune:
+    if params is None and tune:
         grid = tune_grid(split_df, features, spw, iters=iters)
         best = {k: v for k, v in max(grid, key=lambda r: r["val_pr_auc"]).items() if k != "val_pr_auc"}
     fit_df = fit_frame(split_df, spw)
-    cands = {"gbt": gbt(features, best["max_depth"], best["step_size"], iters).fit(fit_df),
+    if params is None:
+        params = {"max_depth": best["max_depth"], "step": best["step_size"]}
+    cands = {"gbt": gbt(features, iters=iters, **params).fit(fit_df),
              "forest": forest(features).fit(fit_df.filter(~F.col("is_val")))}
     aps = {n: val_ap(m, split_df) for n, m in cands.items()}
     winner = max(aps, key=aps.get)
@@ -147,5 +154,5 @@ def train_report(split_df: DataFrame, features: list[str], spw: float, keep: lis
     ev = M.evaluate(test, t, fp_unit_cost=fp_unit_cost)
     report = ev.select(F.lit(winner).alias("winner"), F.lit(aps[winner]).alias("val_pr_auc"),
                        F.lit(str(fp_unit_cost)).alias("fp_unit_cost"), "*")
-    return TrainResult(winner, model, cal, aps, t, best if winner == "gbt" else {}, report, M.reliability_table(test),
+    return TrainResult(winner, model, cal, aps, t, params if winner == "gbt" else {}, report, M.reliability_table(test),
                        M.cost_grid(test))

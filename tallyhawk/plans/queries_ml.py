@@ -4,6 +4,7 @@ population (features: amount, hour, segment, 24h velocity)."""
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from tallyhawk.operators import contributions as CO
 from tallyhawk.operators import policy as PO
 from tallyhawk.operators import prep as PR
 from tallyhawk.operators import scoring as SC
+from tallyhawk.operators import search as SE
 from tallyhawk.operators import training as TR
 from tallyhawk.operators.features import add_velocity_features
 from tallyhawk.plans.catalog import query
 from tallyhawk.plans.oracle_views import with_views
 from tallyhawk.plans.queries_features import training_table
 from tallyhawk.plans.queries_sources import TOP_KEYS_SQL, docs
-from tallyhawk.session import ensure_checkpoint_dir, materialize
+from tallyhawk.session import ensure_checkpoint_dir, materialize, scratch_path
 from tallyhawk.sources import fixtures as FX
 
 ID_COLUMNS = ["_id", "user_id", "recipient_id", "_t", "partner_reference", "partner_txn_id"]
@@ -90,16 +92,31 @@ def calibrate_isotonic(spark, sf_dir):
     return TR.calibrated(m, cal, s.filter(F.col("split") == "test"), ["id", "y"])
 
 
-def train_bundle(spark, sf_dir, path):
+@query("tune_search", f"select {SE.TRIALS} as first_rung, 7 as second_rung, 3 as last_rung, true as scores_in_range, true as winner_is_best")
+def tune_search(spark, sf_dir):
+    """Successive halving over the random space; a search that is run again reads its table."""
+    s = ml_split(spark, sf_dir)
+    best, trials = SE.search(s, FEATURES, _spw(s), scratch_path(spark, "search"))
+    last = trials.where(F.col("rung") == 2)
+    top = last.agg(F.max_by("params", F.struct("val_pr_auc", -F.col("trial")))).first()[0]
+    rungs = [F.count_if(F.col("rung") == n).alias(c) for n, c in enumerate(("first_rung", "second_rung", "last_rung"))]
+    return trials.agg(*rungs, F.bool_and(F.col("val_pr_auc").between(0, 1)).alias("scores_in_range"),
+                      F.lit(json.loads(top) == best).alias("winner_is_best"))
+
+
+def train_bundle(spark, sf_dir, path, trials=0):
     """The whole run on the training table, with the cost of a wrongful block
     measured from history. What scoring needs is written as the next bundle
-    under ``path``, reliability and cost grid of the test part beside it."""
+    under ``path``, reliability and cost grid of the test part beside it. With
+    ``trials`` a search of as many takes the place of the grid; a run that was
+    killed goes on with it."""
     m, features, state = training_matrix(spark, sf_dir)
     history = FX.scored(spark, sf_dir)
     churn = PO.churn_estimate(history, (F.col("y") == 0) & (F.col("score") >= 0.5))
     cost = PO.FalsePositiveCost.measured(churn)
     m = m.withColumn("fp_cost", cost.of(m, amount="amount"))
-    r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost")
+    found = SE.search(m, features, _spw(m), f"{path}/searches", trials)[0] if trials else None
+    r = TR.train_report(m, features, _spw(m), keep=["_id"], fp_unit_cost="fp_cost", params=found)
     report = materialize(r.report)
     kept = BU.Bundle(r.model, r.calibrator, state, features, r.threshold, {"winner": r.winner, **r.params},
                      {**r.candidates, **{k: report.first()[k] for k in ("AUROC", "PR_AUC", "recall", "precision", "cost_per_million")}})
