@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhawk.operators.incremental import DailyFeatures
 from tallyhawk.plans.catalog import query
 from tallyhawk.plans.oracle_views import with_views
 from tallyhawk.session import scratch_path
@@ -71,6 +72,22 @@ def stream_prior_sends(spark, sf_dir):
     return _history(spark, sf_dir).select("_id", "prior_sends_to_recipient", "is_first_send_to_recipient")
 
 
+@query("incremental_features", with_views("transfers_e") + f"""
+select _id, {_SUMS}, prior as prior_sends_to_recipient, cast(prior = 0 as bigint) as is_first_send_to_recipient
+from (select *, epoch_us(cast(txn_ts as timestamp)) as _us,
+             row_number() over (partition by user_id, recipient_id order by txn_ts nulls last, _id) - 1 as prior from transfers_e) v
+window {_FRAMES}""")
+def incremental_features(spark, sf_dir):
+    """The features of all transfers, taken in by deliveries that re-open only the days they reach."""
+    kept = DailyFeatures(spark, scratch_path(spark, "daily"), time_col="txn_ts")
+    *batches, _ = deliveries(FX.transfers_e(spark, sf_dir), "txn_ts")
+    for n, batch in enumerate(batches):
+        kept.add(batch, f"delivery-{n}")
+    return kept.features().select("_id", *[c for h in _WINDOWS for c in (
+        F.col(f"user_id_txn_{h}h"), F.round(f"user_id_amt_{h}h", 2).alias(f"user_id_amt_{h}h"))],
+        "prior_sends_to_recipient", "is_first_send_to_recipient")
+
+
 @query("stream_score", with_views("transfers_o") + "select _id, true as as_batch from transfers_o")
 def stream_score(spark, sf_dir):
     """Raw transfers scored as they arrive get the scores that the batch path gives."""
