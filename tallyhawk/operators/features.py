@@ -15,7 +15,7 @@ from tallyhawk import contract as K
 from tallyhawk.functions.columns import (US_PER_HOUR, days_between, epoch_us, hour_of,
                                          is_legacy_code, lenient_timestamp, strip_ws, weekday_of)
 from tallyhawk.operators.ranking import exclusive_prefix, range_bucket
-from tallyhawk.operators.timeframes import Frame, with_time_frames
+from tallyhawk.operators.timeframes import Frame, with_ranged_frames, with_time_frames
 
 TIME = "_t"
 
@@ -106,10 +106,14 @@ def code_format_ratio(df: DataFrame, col: str = "description_code") -> DataFrame
 
 def add_velocity_features(df: DataFrame, key: str = "user_id", time_col: str = TIME,
                           amount_col: str = "send_amount", windows=K.VELOCITY_WINDOWS_HOURS,
-                          bucket_us: int | None = None) -> DataFrame:
+                          bucket_us: int | None = None, ranges: int | None = None) -> DataFrame:
     """Trailing count and sum of ``amount_col`` per key over each window
     (hours), excluding the current row and same-time rows; empty -> 0.
     Rows with no key or time get 0. All windows share one exchange and sort.
+
+    With ``ranges`` rows are dealt by (key, time) into about so many ranges
+    instead of by time buckets: for data where one key may hold more rows in
+    two weeks than a task should (see :func:`~tallyhawk.operators.timeframes.with_ranged_frames`).
     """
     frames = []
     for h in windows:
@@ -117,7 +121,8 @@ def add_velocity_features(df: DataFrame, key: str = "user_id", time_col: str = T
         frames.append(Frame(f"{key}_txn_{h}h", "count", "_amt", -w, -1))
         frames.append(Frame(f"{key}_amt_{h}h", "sum", "_amt", -w, -1))
     d = df.withColumns({"_us": epoch_us(time_col), "_amt": F.col(amount_col).try_cast("double")})
-    out = with_time_frames(d, key, "_us", frames, bucket_us=bucket_us)
+    out = (with_time_frames(d, key, "_us", frames, bucket_us=bucket_us) if ranges is None
+           else with_ranged_frames(d, key, "_us", frames, ranges))
     fills = {}
     for f in frames:
         zero = F.lit(0).cast("bigint") if f.agg == "count" else F.lit(0.0)

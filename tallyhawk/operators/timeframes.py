@@ -137,3 +137,82 @@ def with_time_frames(df: DataFrame, key: str, us_col: str, frames: list[Frame],
             raise ValueError(f"unknown frame aggregate {f.agg!r}")
     found = placed.withColumns(dict(sums.values())).filter(~F.col("_halo"))
     return found.select(*df.columns, *[F.when(F.col("_valid"), c).alias(n) for n, c in cols.items()])
+
+
+def with_ranged_frames(df: DataFrame, key: str, us_col: str, frames: list[Frame], buckets: int | None = None) -> DataFrame:
+    """As :func:`with_time_frames` for trailing frames, for keys of any size:
+    no time bucket of a key is one task's work.
+
+    Rows lie in ranges of (key, time) whose edges follow the data, so a key
+    with very many rows, in a week or in a minute, spans as many ranges as it
+    fills. Inside a range running totals are taken to the edges of the frames;
+    a key that spans several ranges adds the total of its earlier ranges
+    (carry), and an edge that lies before the range is looked up in the earlier
+    range that holds it. Most rows look nothing up: at most two keys per range
+    span several, and of these only rows near its beginning, or rows of very
+    large keys, reach back. The rows are fixed by a checkpoint and shuffled
+    twice, so this costs more than time buckets where no key is large.
+    """
+    from tallyhawk.operators.ranking import range_bucket
+    from tallyhawk.session import materialize
+    for f in frames:
+        if f.agg not in ("count", "sum") or f.hi_us >= 0 or f.lo_us > f.hi_us:
+            raise ValueError(f"frame {f.name} is no trailing count or sum")
+    t, zero = F.col(us_col), F.lit(0).cast("long")
+    valid = F.col(key).isNotNull() & t.isNotNull()
+    d = range_bucket(df.filter(valid).withColumn("_rid", F.monotonically_increasing_id()), [F.col(key), t], "_p", buckets)
+    d = d.withColumn("_one", F.lit(1).cast("long"))
+    for value in sorted({f.value for f in frames if f.value}):
+        d = d.withColumns(_split(value))
+    cols = [c for c in d.columns if c == "_one" or c not in df.columns and any(c.startswith(f"{f.value}_") for f in frames if f.value)]
+    edges = sorted({f.hi_us for f in frames} | {f.lo_us - 1 for f in frames})
+    add = lambda c: F.coalesce(F.sum(c), zero)
+
+    # ranges of keys that span several: at most two per range, so both tables below are broadcast
+    spans = d.groupBy(key, "_p").agg(F.min(t).alias("_first"), *[add(c).alias(f"_s{j}") for j, c in enumerate(cols)])
+    whole = Window.partitionBy(key)
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_many", F.count(F.lit(1)).over(whole)).filter("_many > 1").select(
+        key, "_p", "_first", *[F.coalesce(F.sum(f"_s{j}").over(before), zero).alias(f"_c{j}") for j in range(len(cols))])
+    spans = materialize(spans)
+    carries = [f"_c{j}" for j in range(len(cols))]
+    ladder = spans.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_first", "_p", *carries))).alias("_ladder"))
+
+    # edges before the own range, looked up in the last range that begins before them
+    asked = (d.join(F.broadcast(spans.select(key, "_p", "_first")), [key, "_p"])
+             .select(key, "_rid", "_first", F.explode(F.array(*[
+                 F.struct(F.lit(i).alias("edge"), (t + F.lit(e)).alias("at")) for i, e in enumerate(edges)])).alias("_e"))
+             .select(key, "_rid", "_first", "_e.edge", F.col("_e.at").alias("_at")).filter(F.col("_at") < F.col("_first"))
+             .join(F.broadcast(ladder), key)
+             .withColumn("_ladder", F.filter("_ladder", lambda x: x["_first"] <= F.col("_at"))).filter(F.size("_ladder") > 0)
+             .withColumn("_in", F.element_at("_ladder", -1))
+             .select(key, "_in._p", "_at", "_rid", "edge", *[f"_in.{c}" for c in carries], *[F.lit(None).cast("long").alias(c) for c in cols]))
+    there = d.join(F.broadcast(spans.select(key, "_p")), [key, "_p"], "left_semi").select(
+        key, "_p", t.alias("_at"), F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("int").alias("edge"),
+        *[F.lit(None).cast("long").alias(c) for c in carries], *cols)
+    upto = Window.partitionBy(key, "_p").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    found = there.unionByName(asked).withColumns({f"_x{j}": F.coalesce(F.sum(c).over(upto), zero) for j, c in enumerate(cols)})
+    found = (found.filter(F.col("_rid").isNotNull()).groupBy("_rid").agg(*[
+        F.max(F.when(F.col("edge") == i, F.col(f"_x{j}") + F.col(f"_c{j}"))).alias(f"_x{i}_{j}")
+        for i in range(len(edges)) for j in range(len(cols))]))
+
+    base = Window.partitionBy(key, "_p").orderBy(t)
+    local = {f"_l{i}_{j}": F.coalesce(F.sum(c).over(base.rangeBetween(Window.unboundedPreceding, e)), zero)
+             for i, e in enumerate(edges) for j, c in enumerate(cols)}
+    rows = d.withColumns(local).join(F.broadcast(spans), [key, "_p"], "left").join(found, "_rid", "left")
+
+    def total(edge: int, c: str) -> Column:
+        i, j = edges.index(edge), cols.index(c)
+        own = F.col(f"_l{i}_{j}")
+        return (F.when(F.col("_first").isNull(), own).when(t + F.lit(edge) >= F.col("_first"), F.col(f"_c{j}") + own)
+                .otherwise(F.coalesce(F.col(f"_x{i}_{j}"), zero)))
+
+    out = []
+    for f in frames:
+        inside = lambda c, f=f: total(f.hi_us, c) - total(f.lo_us - 1, c)
+        value = (inside(f"{f.value}_n" if f.value else "_one") if f.agg == "count" else
+                 _joined({n: inside(f"{f.value}{n}") for n in ("_n", "_w", *[n for n, _, _ in PARTS])}))
+        out.append(value.alias(f.name))
+    rows = rows.select(*df.columns, *out)
+    rest = df.filter(~F.coalesce(valid, F.lit(False)))
+    return rows.unionByName(rest.select(*df.columns, *[F.lit(None).cast(rows.schema[f.name].dataType).alias(f.name) for f in frames]))

@@ -26,6 +26,14 @@ for _h in (1, 24, 168):
     query(f"velocity_{_h}h", with_views("transfers_e") + velocity_sql(_h, "transfers_e"))(_velocity(_h))
 
 
+@query("velocity_ranges", with_views("transfers_e") + velocity_sql(168, "transfers_e"))
+def velocity_ranges(spark, sf_dir):
+    """The longest window by ranges of (user, time) with carries, for users of any size."""
+    out = FT.add_velocity_features(FX.transfers_e(spark, sf_dir), time_col="txn_ts", windows=(168,),
+                                   ranges=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return out.select("_id", "user_id_txn_168h", F.round("user_id_amt_168h", 2).alias("user_id_amt_168h"))
+
+
 def _history(spark, sf_dir):
     t = FX.transfers_e(spark, sf_dir)
     return FT.add_recipient_history(t, time_col="txn_ts")

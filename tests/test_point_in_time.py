@@ -207,3 +207,29 @@ def test_history_of_a_hot_pair_is_spread(spark, kind):
     assert max(sizes) < n / 2 and len(sizes) > 3
     wrong = out.withColumn("want", F.row_number().over(order) - 1).where(F.col("want") != F.col("prior_sends_to_recipient"))
     assert wrong.count() == 0 and out.where("is_first_send_to_recipient = 1").count() == 1
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_ranged_velocity_equals_buckets(spark, ranges):
+    """Keys inside a range, across two and over many; ties at the edges; rows without key, time or amount."""
+    import random
+    rng = random.Random(ranges)
+    rows = [(i, rng.choice(["hot"] * 6 + ["a", "b", "c", None]), None if rng.random() < 0.03 else 3600 * rng.randrange(400) // rng.choice([1, 2]),
+             rng.choice([None, 1.5, 0.25, -4.0, 1e21])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "_id int, user_id string, s long, send_amount double").withColumn("_t", F.timestamp_seconds("s"))
+    tidy = lambda d: sorted(map(repr, d.collect()))
+    assert tidy(FT.add_velocity_features(df, ranges=ranges)) == tidy(FT.add_velocity_features(df))
+
+
+def test_velocity_of_a_hot_user_is_spread(spark):
+    """A million rows of one user in one day: summed by many tasks, all right."""
+    n = 1_000_000
+    d = spark.range(n).select("id", F.lit("u").alias("user_id"), F.lit(1.0).alias("send_amount"),
+                              F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.pmod(F.col("id") * 7919, F.lit(n)) * 80_000).alias("_t"))
+    out = FT.add_velocity_features(d, windows=(1, 24), ranges=16)
+    spans = d.repartitionByRange(16, "user_id", F.col("_t")).groupBy(F.spark_partition_id()).count().collect()
+    assert len(spans) > 8 and max(r["count"] for r in spans) < n / 4
+    nth = F.pmod(F.col("id") * 7919, F.lit(n))
+    wrong = out.where((F.col("user_id_txn_1h") != F.least(nth, F.lit(45_000))) | (F.col("user_id_txn_24h") != nth)
+                      | (F.col("user_id_amt_1h") != F.col("user_id_txn_1h")))
+    assert wrong.count() == 0 and out.count() == n
