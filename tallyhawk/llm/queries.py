@@ -3,7 +3,10 @@ tables and reduce their results to the columns asked for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import hashlib
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.catalog import query
@@ -112,13 +115,44 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("loss_end") - F.col("loss_start")).cast("int"))))
     read = nodes.select("node_id", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("said"),
                         F.coalesce(loss, F.lit("")).alias("loss"), (F.col("end") - F.col("start")).alias("len"))
-    whole = members.join(read, "node_id").groupBy("conv_id").agg(
-        F.count("*").alias("n_turns"), F.sum("len").alias("formatted_chars"),
-        F.sort_array(F.collect_list(F.struct("turn", "said", "loss"))).alias("rows"))
-    return whole.select(
-        "conv_id", "n_turns", F.sha2(F.array_join("rows.said", ""), 256).alias("turns_sha256"),
-        F.length(F.array_join("rows.loss", "")).cast("long").alias("loss_chars"),
-        F.sha2(F.array_join("rows.loss", ""), 256).alias("loss_sha256"), "formatted_chars")
+    turns = members.join(read, "node_id").select("conv_id", "turn", "said", "loss", "len")
+    return (turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+            .mapInArrow(chat_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                                      "loss_sha256 string, formatted_chars long"))
+
+
+def chat_digests(batches):
+    """Rows (conv_id, turn, said, loss, len) sorted by conversation and turn to
+    one row per conversation. A turn is hashed as it comes, so a conversation
+    of any length is never held."""
+    open_, out, begun = None, [], False
+
+    def row():
+        conv, n, said, chars, loss, size = open_
+        return conv, n, said.hexdigest(), chars, loss.hexdigest(), size
+
+    def table():
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    for batch in batches:
+        for conv, _, said, loss, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not begun or conv != open_[0]:
+                if begun:
+                    out.append(row())
+                open_, begun = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0], True
+            open_[1] += 1
+            open_[2].update(said.encode())
+            open_[3] += len(loss)
+            open_[4].update(loss.encode())
+            open_[5] += size
+        if out:
+            yield table()
+            out = []
+    if begun:
+        out.append(row())
+        yield table()
 
 
 @query("op3_simhash")

@@ -70,3 +70,22 @@ def test_many_branches(spark):
 def test_empty(spark):
     nodes, members = format_chats(spark.createDataFrame([], SCHEMA))
     assert nodes.count() == members.count() == 0
+
+
+def test_digests_of_long_conversations():
+    """Turns are hashed as they come; a conversation may span batches, and its id may be null."""
+    import hashlib
+
+    import pyarrow as pa
+
+    from tallyhawk.llm.queries import chat_digests
+    rows = [(None, i, f"né{i}\n", "", 3) for i in range(3)] + [(1, i, f"t{i}\n", f"é{i}", 5) for i in range(7)] + [(2, 1, "x", "y", 1)]
+    names = ["conv_id", "turn", "said", "loss", "len"]
+    table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows])
+    got = [tuple(r.values()) for b in chat_digests(iter(table.to_batches(max_chunksize=2))) for r in b.to_pylist()]
+    want = []
+    for conv in (None, 1, 2):
+        own = [r for r in rows if r[0] == conv]
+        digest = lambda i, own=own: hashlib.sha256("".join(r[i] for r in own).encode()).hexdigest()
+        want.append((conv, len(own), digest(2), sum(len(r[3]) for r in own), digest(3), sum(r[4] for r in own)))
+    assert got == want and list(chat_digests(iter([]))) == []
