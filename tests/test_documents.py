@@ -146,3 +146,19 @@ def test_unwrap_extended_json(spark):
                   read_field("doc", "n.q.z", "string").alias("gap")).first()
     assert r["a"] == 5 and r["d"].year == 1970 and r["d"].day == 2
     assert r["b"] is None and r["y"] == 1.5 and r["gap"] is None
+
+
+def test_compressed_exports(spark, tmp_path):
+    """Exports are written compressed; the shape of a compressed file is told by what is in it."""
+    import gzip
+
+    from tallyhawk.sources import documents
+    lines = spark.range(500).select(F.to_json(F.struct(F.col("id").cast("string").alias("_id"), F.lit("same for all").alias("note"))).alias("json"))
+    documents.export_lines(lines, f"{tmp_path}/lines")
+    files = [f for f in documents.data_files(spark, f"{tmp_path}/lines")]
+    assert files and all(f.endswith(".gz") for f in files)
+    with gzip.open(f"{tmp_path}/array.json.gz", "wt") as out:
+        out.write('// export\n[{"_id": "a"},\n{"_id": "b"}]')
+    docs = documents.read_documents(spark, [f"{tmp_path}/lines", f"{tmp_path}/array.json.gz"])
+    ids = {r[0] for r in docs.select(F.variant_get("doc", "$._id", "string")).collect()}
+    assert ids == {str(n) for n in range(500)} | {"a", "b"}
