@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyhawk.operators import scoring as SC
 from tallyhawk.operators import training as TR
+from tallyhawk.operators.extract import extract_collection
 from tallyhawk.plans import queries_ml as Q
+from tallyhawk.sources.documents import parse_documents
 
 COMPILED = 8000
 
@@ -20,6 +22,13 @@ def longest(df, capsys):
     return max(int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", capsys.readouterr().out))
 
 
+def test_extraction_is_compiled(spark, tmp_path, capsys):
+    spark.createDataFrame([('{"_id": {"$oid": " A1 "}, "status": " "}',)], "json string").write.parquet(str(tmp_path / "d"))
+    got = extract_collection(parse_documents(spark.read.parquet(str(tmp_path / "d"))), "transfer", "salt")
+    assert longest(got, capsys) < COMPILED
+    assert got.select(F.col("_id") == F.substring(F.sha2(F.lit("salta1"), 256), 1, 24)).first()[0]
+
+
 def test_scoring_is_compiled(spark, tmp_path, capsys):
     rng = random.Random(4)
     names = [f"f{i}" for i in range(40)]
