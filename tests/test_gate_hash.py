@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyhawk.operators import extract as X
 from tallyhawk.plans import queries_gate as Q
 
+SF_SMALL = "/root/testdata/sf0.001"
 DOCS = ['{"_id": "1", "omnexPaymentId": " JP1 ", "transaction_id": "T1"}', '{"_id": "2", "payment_receipt_number": "  "}',
         '{"_id": {"$oid": "3"}, "payment_receipt_number": "R3", "sender_email": "A@B.example"}', '{"_id": null}']
 
@@ -52,3 +53,20 @@ def test_documents_are_scanned_and_hashed_once(spark, tables):
     assert row == {"sheet_references": len(own), "agreeing_references": len([x for x in own if x[0] != "X"]),
                    "sheet_transactions": len({k for k, p in orders if p == "4"}),
                    "agreeing_transactions": len({k for k, p in orders if p == "4"})}
+
+
+def test_hash_in_another_process(spark, tables, monkeypatch):
+    """A salt that only one of the processes has is found."""
+    row = Q.gate_hash_consistency(spark, tables).first().asDict()
+    assert row == {"hashed_values": 60, "mismatches": 0, "normalisation_ok": True, "blanks_null": True}
+    monkeypatch.setattr(Q.FX, "FIXTURE_SALT", "another salt")
+    row = Q.gate_hash_consistency(spark, tables).first()
+    assert row["mismatches"] == 2 * 40 and row["normalisation_ok"]  # in both directions; a third of the names is blank
+
+
+def test_safety_gate_checks_the_hash(spark, monkeypatch):
+    frame = spark.createDataFrame([(5, 1, True, True)], "hashed_values long, mismatches long, normalisation_ok boolean, blanks_null boolean")
+    monkeypatch.setattr(Q, "gate_hash_consistency", lambda spark, sf_dir: frame)
+    got = {r["gate"]: (r["passed"], r["detail"]) for r in Q.safety_gate(spark, SF_SMALL).collect()}
+    assert got.pop("hash_consistency") == (False, "1 of 5 values hash otherwise in another process")
+    assert len(got) == 8 and all(passed for passed, _ in got.values())
